@@ -1 +1,2 @@
-
+def flagship(spark, d):
+    raise NotImplementedError

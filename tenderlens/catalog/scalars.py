@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as S
 from ..functions.jaro import jaro_distance
-from ..operators.joins import join_null_safe  # noqa: F401
 from ..sources.contracts import table
 from .base import query
 
@@ -102,7 +101,7 @@ def f8(spark, d):
 
 @query(
     "F9_key_normalise",
-    "SELECT doc_id, upper(regexp_replace(strip_accents(text), '[\\p{P}\\s]', '', 'g')) AS key, "
+    "SELECT doc_id, upper(regexp_replace(replace(strip_accents(text), 'ß', 'ss'), '[\\p{P}\\s]', '', 'g')) AS key, "
     "upper(strip_accents(source)) AS name FROM documents",
 )
 def f9(spark, d):

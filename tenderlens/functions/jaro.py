@@ -1,7 +1,7 @@
 """Jaro distance over Arrow batches.
 
 Distance = 1 - (m/|a| + m/|b| + (m - t)/m) / 3 with m matching characters inside the usual
-window and t half the number of matched characters out of order. No prefix bonus.
+window and t half the number of matched characters out of order, rounded down. No prefix bonus.
 """
 
 from __future__ import annotations
@@ -54,7 +54,7 @@ def jaro_distances(left: pd.Series, right: pd.Series) -> pd.Series:
         a_seq = np.take_along_axis(a, np.argsort(~a_hit, axis=1, kind="stable")[:, :width], axis=1)
         b_seq = np.take_along_axis(b, np.argsort(~b_hit, axis=1, kind="stable")[:, :width], axis=1)
         used = np.arange(width)[None, :] < m[:, None]
-        t = ((a_seq != b_seq) & used).sum(axis=1) / 2.0
+        t = ((a_seq != b_seq) & used).sum(axis=1) // 2
     else:
         t = np.zeros(len(a))
     with np.errstate(divide="ignore", invalid="ignore"):

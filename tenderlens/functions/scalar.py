@@ -138,7 +138,8 @@ _ACCENTED, _PLAIN = _accent_pairs()
 
 
 def fold_accents(c: Column) -> Column:
-    return F.regexp_replace(F.translate(c, _ACCENTED, _PLAIN), r"\p{M}", "")
+    plain = F.regexp_replace(F.translate(c, _ACCENTED, _PLAIN), r"\p{M}", "")
+    return F.replace(plain, F.lit("ß"), F.lit("ss"))
 
 
 def name_key(c: Column) -> Column:

@@ -66,7 +66,7 @@ def compare(df, con, sql: str) -> str | None:
         return f"rows {len(mine)} vs {len(theirs)}"
     bad = [(a, b) for a, b in zip(mine, theirs) if not all(close(x, y) for x, y in zip(a, b))]
     if bad:
-        return f"{len(bad)} of {len(mine)} rows differ ({names}), first: {bad[0]}"
+        return f"{len(bad)} of {len(mine)} rows differ ({names}), first: {bad[0]}"[:900]
     return None
 
 
