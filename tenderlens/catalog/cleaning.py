@@ -284,7 +284,7 @@ def _key(c: str) -> str:
 _GAZ = "gaz AS (SELECT p_type AS g_dept, p_name AS g_place, CAST(min(p_partkey) AS BIGINT) AS code FROM part GROUP BY 1, 2)"
 _ALLOC = (
     f"""raw AS ({raw_sql(["municipio_ejecucion", "valor_total_con_adiciones", "id_contratista"])}),
-e AS (SELECT *, list_filter(string_split(municipio_ejecucion, ';'), x -> x <> '') AS l FROM raw),
+e AS (SELECT *, list_filter(string_split(municipio_ejecucion, ';'), lambda x: x <> '') AS l FROM raw),
 x AS (SELECT id_contratista, valor_total_con_adiciones / len(l) AS v, regexp_extract(unnest(l), '^([^/|(]*)', 1) AS t FROM e),
 y AS (SELECT id_contratista, v, CASE WHEN instr(t, ' - ') > 0 THEN substr(t, 1, instr(t, ' - ') - 1) END AS department,
       CASE WHEN instr(t, ' - ') > 0 THEN substr(t, instr(t, ' - ') + 3) ELSE t END AS place FROM x)"""

@@ -55,13 +55,16 @@ def concentration_ratio(
     return ratio_from_pairs(pair_totals(df, actor, counterpart, value), actor, counterpart, k, names)
 
 
+def top_one_shares(names: Sequence[str] = ("pnum_ick", "pval_ick")) -> list[Column]:
+    """Share of the most important counterpart, as aggregates over pair totals."""
+    return [pct(F.max(c), F.sum(c)).alias(name) for c, name in zip(("n", "v"), names)]
+
+
 def ratio_from_pairs(
     pairs: DataFrame, actor: str, counterpart: str, k: int, names: Sequence[str] = ("pnum_ick", "pval_ick")
 ) -> DataFrame:
     if k == 1:
-        return pairs.groupBy(actor).agg(
-            pct(F.max("n"), F.sum("n")).alias(names[0]), pct(F.max("v"), F.sum("v")).alias(names[1])
-        )
+        return pairs.groupBy(actor).agg(*top_one_shares(names))
     by_count = top_k_share(pairs, actor, counterpart, "n", k, names[0])
     by_value = top_k_share(pairs, actor, counterpart, "v", k, names[1])
     return join_null_safe(by_count, by_value, [actor])

@@ -66,13 +66,8 @@ def _flags(r: Roles) -> list[Column]:
     ]
 
 
-def actor_indicators(df: DataFrame, r: Roles, **kw) -> DataFrame:
-    """Profile, concentration and red flags of one kind of actor over the whole period.
-
-    One (actor, counterpart) pre-aggregate supplies participation, HHI, top-k and all shares.
-    Only the profile (median and further distinct counts) reads the contracts again.
-    """
-    pairs = pair_totals(df, r.actor, r.counterpart, r.value, *_flags(r))
+def _actor_sums(pairs: DataFrame, r: Roles) -> DataFrame:
+    """Concentration and red-flag shares of the eligible actors from their pair totals."""
     sums = pairs.groupBy(r.actor).agg(
         F.sum("n").alias("__n"),
         F.count("*").alias("n_counterparts"),
@@ -86,7 +81,31 @@ def actor_indicators(df: DataFrame, r: Roles, **kw) -> DataFrame:
         S.pct(F.sum("add_n"), F.sum("n")).alias("pnum_added"),
         S.pct(F.sum("add_v"), F.sum("v")).alias("pval_added"),
     )
-    sums = sums.filter((F.col("__n") >= r.min_contracts) & (F.col("n_counterparts") >= r.min_counterparts)).drop("__n")
+    enough = (F.col("__n") >= r.min_contracts) & (F.col("n_counterparts") >= r.min_counterparts)
+    return sums.filter(enough).drop("__n")
+
+
+def red_flags(df: DataFrame, r: Roles) -> DataFrame:
+    """HHI and red-flag shares without the profile: one pass and no join."""
+    return _actor_sums(pair_totals(df, r.actor, r.counterpart, r.value, *_flags(r)), r)
+
+
+def actor_indicators_lean(df: DataFrame, r: Roles) -> DataFrame:
+    """All concentration and red-flag indicators, without the value profile."""
+    pairs = pair_totals(df, r.actor, r.counterpart, r.value, *_flags(r))
+    return join_null_safe(
+        _actor_sums(pairs, r), ratio_from_pairs(pairs, r.actor, r.counterpart, r.k), [r.actor], "inner"
+    )
+
+
+def actor_indicators(df: DataFrame, r: Roles, **kw) -> DataFrame:
+    """Profile, concentration and red flags of one kind of actor over the whole period.
+
+    One (actor, counterpart) pre-aggregate supplies participation, HHI, top-k and all shares.
+    Only the profile (median and further distinct counts) reads the contracts again.
+    """
+    pairs = pair_totals(df, r.actor, r.counterpart, r.value, *_flags(r))
+    sums = _actor_sums(pairs, r)
     top = ratio_from_pairs(pairs, r.actor, r.counterpart, r.k)
     facts = actor_profile(df, [r.actor], r.value, dict(r.distincts), **kw)
     return join_null_safe(join_null_safe(sums, facts, [r.actor], "inner"), top, [r.actor], "inner")
