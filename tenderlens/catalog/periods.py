@@ -8,6 +8,7 @@ from ..operators import reshape as Rs
 from ..plans import risk as R
 from ..plans.quality import DECILE_LABELS, DECILES
 from ..sources.contracts import contracts, table
+from ..sources.files import stage
 from .base import C, query, rounded
 
 _TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
@@ -134,7 +135,7 @@ sum(CASE WHEN rn <= {k} THEN pn END) * 100 AS pnum_ick, sum(CASE WHEN rv <= {k}
     )
 
 
-_CON = ", ".join(f"round(any_value({c}), 6) AS {c}" for c in R.CONCENTRATION)
+_CON = ", ".join(f"round(any_value({c}), 9) AS {c}" for c in R.CONCENTRATION)
 _COUNTS = {"n_contracts", "n_families", "n_groups", "n_counterparts"}
 
 
@@ -186,19 +187,19 @@ def _rounded_wide(df, keys):
                 digits[name] = 6
             else:
                 digits[name] = 2 if name.startswith("val_contracts_") else 4
-    digits.update({c: 6 for c in R.CONCENTRATION})
+    digits.update({c: 9 for c in R.CONCENTRATION})
     return rounded(df, **digits)
 
 
 def _register(kind: str, roles: R.Roles, args: tuple):
     @query(f"D15_{kind}_periods_absolute", _abs_sql(*args))
     def absolute(spark, d):
-        out = R.indicators_by_period(contracts(spark, d, _NEED), roles, "abs")
+        out = R.indicators_by_period(stage(contracts(spark, d, _NEED), "contracts"), roles, "abs")
         return _rounded_wide(out, [roles.actor])
 
     @query(f"D16_{kind}_periods_relative", _rel_sql(*args))
     def relative(spark, d):
-        out = R.indicators_by_period(contracts(spark, d, _NEED), roles, "rel")
+        out = R.indicators_by_period(stage(contracts(spark, d, _NEED), "contracts"), roles, "rel")
         return _rounded_wide(out, [roles.actor])
 
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import concentration as K
 from ..operators.aggregates import participation_table
 from ..plans import risk as R
 from ..sources.contracts import contracts
+from ..sources.files import stage
 from .aggregation import SHARES
 from .base import C, query, rounded
 
@@ -63,7 +63,7 @@ def _digits():
 
 @query("D13_buyer_indicators", f"{_BUYER_SQL} {_select('buyer_id')} FROM ind")
 def d13(spark, d):
-    return rounded(R.buyer_indicators(contracts(spark, d, _NEED)), **_digits())
+    return rounded(R.buyer_indicators(stage(contracts(spark, d, _NEED), "contracts")), **_digits())
 
 
 @query(
@@ -71,7 +71,7 @@ def d13(spark, d):
     f"{_SUPPLIER_SQL} {_select('supplier_id', (*_INT, 'n_active_years', 'n_places'))} FROM ind",
 )
 def d14(spark, d):
-    df = contracts(spark, d, [*_NEED, "buyer_place"])
+    df = stage(contracts(spark, d, [*_NEED, "buyer_place"]), "contracts")
     places = df.select("supplier_id", "buyer_place").distinct()
     return rounded(R.supplier_indicators(df, places=places), **_digits())
 
@@ -79,17 +79,7 @@ def d14(spark, d):
 def flagship(spark, d):
     """Composite concentration index per eligible supplier, relative bands."""
     df = contracts(spark, d, ["supplier_id", "buyer_id", "val"])
-    r = R.SUPPLIERS
-    pairs = K.pair_totals(df, r.actor, r.counterpart, r.value)
-    index = pairs.groupBy(r.actor).agg(
-        F.sum("n").alias("n_contracts"),
-        F.count("*").alias("n_counterparts"),
-        K.hhi_of("n").alias("num_hhi"),
-        K.hhi_of("v").alias("val_hhi"),
-        *K.top_one_shares(),
-    )
-    index = index.filter((F.col("n_contracts") >= r.min_contracts) & (F.col("n_counterparts") >= r.min_counterparts))
-    return R.composite_index(index)
+    return R.composite_index(R.concentration(df, R.SUPPLIERS, keep_counts=True))
 
 
 @query(
@@ -112,10 +102,7 @@ def d17(spark, d):
 def d17b(spark, d):
     df = contracts(spark, d, ["supplier_id", "buyer_id", "val"])
     r = R.BUYERS
-    df = R.eligible(df, r)
-    index = K.hhi(df, r.actor, r.counterpart, r.value).join(
-        K.concentration_ratio(df, r.actor, r.counterpart, r.value, r.k), r.actor
-    )
+    index = R.concentration(df, r)
     out = R.composite_index(index, cuts=(1.4, 1.6), relative=False, keep=False)
     return rounded(out, irc=6)
 

@@ -12,7 +12,7 @@ from .base import query
 
 @query("F1_case", "SELECT doc_id, lower(text) AS low, upper(lang) AS up FROM documents")
 def f1(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.lower("text").alias("low"), F.upper("lang").alias("up"))
+    return table(spark, d, "documents", spread=True).select("doc_id", F.lower("text").alias("low"), F.upper("lang").alias("up"))
 
 
 @query(
@@ -20,7 +20,7 @@ def f1(spark, d):
     "SELECT doc_id, regexp_matches(text, 'ción|ó|license') AS hit, regexp_matches(text, '[0-9]{3}') AS digits FROM documents",
 )
 def f2(spark, d):
-    return table(spark, d, "documents").select(
+    return table(spark, d, "documents", spread=True).select(
         "doc_id", F.col("text").rlike("ción|ó|license").alias("hit"), F.col("text").rlike("[0-9]{3}").alias("digits")
     )
 
@@ -32,7 +32,7 @@ def f2(spark, d):
 )
 def f3(spark, d):
     t = F.col("text")
-    return table(spark, d, "documents").select(
+    return table(spark, d, "documents", spread=True).select(
         "doc_id",
         S.remove_all(t, "[aeiou]").alias("no_vowels"),
         S.remove_first(t, "[0-9]+").alias("first_gone"),
@@ -57,7 +57,7 @@ def f4(spark, d):
     "(SELECT doc_id, unnest(string_split(text, ' ')) AS w FROM documents) GROUP BY doc_id",
 )
 def f5(spark, d):
-    words = table(spark, d, "documents").select("doc_id", F.explode(F.split("text", " ")).alias("w"))
+    words = table(spark, d, "documents", spread=True).select("doc_id", F.explode(F.split("text", " ")).alias("w"))
     return words.groupBy("doc_id").agg(F.count("*").alias("words"), F.count_distinct("w").alias("distinct_words"))
 
 
@@ -94,7 +94,7 @@ def f7(spark, d):
 )
 def f8(spark, d):
     t = F.col("text")
-    return table(spark, d, "documents").select(
+    return table(spark, d, "documents", spread=True).select(
         "doc_id", S.digits_only(t).alias("digits"), S.letters_only(t).alias("letters")
     )
 
@@ -105,7 +105,7 @@ def f8(spark, d):
     "upper(strip_accents(source)) AS name FROM documents",
 )
 def f9(spark, d):
-    return table(spark, d, "documents").select(
+    return table(spark, d, "documents", spread=True).select(
         "doc_id", S.place_key(F.col("text")).alias("key"), S.name_key(F.col("source")).alias("name")
     )
 
@@ -127,7 +127,7 @@ def f10(spark, d):
     "SELECT doc_id, CASE WHEN length(text) > 30 THEN left(text, 27) || '...' ELSE text END AS label FROM documents",
 )
 def f11(spark, d):
-    return table(spark, d, "documents").select("doc_id", S.truncate_label(F.col("text"), 30).alias("label"))
+    return table(spark, d, "documents", spread=True).select("doc_id", S.truncate_label(F.col("text"), 30).alias("label"))
 
 
 @query("F12_fixed_format", "SELECT o_orderkey, printf('%.2f', o_totalprice) AS amount FROM orders")

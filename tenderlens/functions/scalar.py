@@ -104,7 +104,7 @@ def nth_part(c: Column, sep: str, n: int) -> Column:
 
 def cut_before_note(c: Column) -> Column:
     """Text before the first '/', '|' or '('."""
-    return F.regexp_extract(c, r"(?s)^([^/|(]*)", 1)
+    return F.substring_index(F.translate(c, "|(", "//"), "/", 1)
 
 
 def split_place(c: Column, sep: str = " - ") -> tuple[Column, Column]:

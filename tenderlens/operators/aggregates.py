@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import pct
-from .joins import join_null_safe
+from .joins import combine
 from .quantiles import median
 
 
@@ -64,11 +64,13 @@ def actor_profile(
     value: str,
     distincts: Mapping[str, Column | str],
     with_median: bool = True,
+    extra: Sequence[Column] = (),
+    extra_names: Sequence[str] = (),
     **kw,
 ) -> DataFrame:
     """Count, sum, mean, median, sd of the value and distinct counts, per actor.
 
-    Distinct counts run as a two-step aggregate on (actor, value), so one actor holding a large
+    ``extra`` aggregates share the same pass. Distinct counts run as a two-step aggregate on (actor, value), so one actor holding a large
     part of the rows does not end in one task.
     """
     by = list(by)
@@ -78,10 +80,13 @@ def actor_profile(
         F.avg(value).alias("val_mean"),
         F.stddev_samp(value).alias("val_sd"),
         *[n_distinct(c).alias(n) for n, c in distincts.items()],
+        *[c.alias(n) for c, n in zip(extra, extra_names)],
     )
     if with_median:
-        out = join_null_safe(out, median(df, by, value, "val_median", **kw), by, "inner")
-        out = out.select(*by, "n_contracts", "val_contracts", "val_mean", "val_median", "val_sd", *distincts)
+        out = combine(by, out, median(df, by, value, "val_median", **kw))
+        out = out.select(
+            *by, "n_contracts", "val_contracts", "val_mean", "val_median", "val_sd", *distincts, *extra_names
+        )
     return out
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import in_set, pct, r_div
 from .aggregates import share
-from .joins import join_null_safe
+from .joins import combine
 
 
 def pair_totals(df: DataFrame, actor: str, counterpart: str, value: str, *extra: Column) -> DataFrame:
@@ -33,41 +33,46 @@ def hhi(df: DataFrame, actor: str, counterpart: str, value: str) -> DataFrame:
     return pairs.groupBy(actor).agg(hhi_of("n").alias("num_hhi"), hhi_of("v").alias("val_hhi"))
 
 
-def top_k_share(pairs: DataFrame, actor: str, counterpart: str, part: str, k: int, name: str) -> DataFrame:
-    """Share (%) of the k largest parts of each actor.
+def top_k_total(pairs: DataFrame, actor: str, counterpart: str, part: str, k: int, name: str) -> DataFrame:
+    """Sum of the k largest parts of each actor.
 
-    For k = 1 this is a maximum. Otherwise the rank filter is applied inside each map task
-    before the shuffle, so an actor sends at most k rows per task.
+    The rank filter is applied inside each map task before the shuffle, so an actor sends at most
+    k rows per task.
     """
-    total = pairs.groupBy(actor).agg(F.sum(part).alias("__total"), F.max(part).alias("__max"))
-    if k == 1:
-        return total.select(actor, pct(F.col("__max"), F.col("__total")).alias(name))
     w = Window.partitionBy(actor).orderBy(F.desc(part), F.asc(counterpart))
     top = pairs.select(actor, counterpart, part).withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= k)
-    top = top.groupBy(actor).agg(F.sum(part).alias("__top"))
-    return join_null_safe(total, top, [actor]).select(actor, pct(F.col("__top"), F.col("__total")).alias(name))
+    return top.groupBy(actor).agg(F.sum(part).alias(name))
 
 
-def concentration_ratio(
-    df: DataFrame, actor: str, counterpart: str, value: str, k: int, names: Sequence[str] = ("pnum_ick", "pval_ick")
-) -> DataFrame:
-    """Share of the k most important counterparts by count and by value."""
-    return ratio_from_pairs(pair_totals(df, actor, counterpart, value), actor, counterpart, k, names)
+RATIO_NAMES = ("pnum_ick", "pval_ick")
+
 
+def index_from_pairs(
+    pairs: DataFrame, actor: str, counterpart: str, k: int, *extra: Column, names: Sequence[str] = RATIO_NAMES
+) -> DataFrame:
+    """``extra`` aggregates and the k-firm ratios by count and value, per actor, from pair totals.
 
-def top_one_shares(names: Sequence[str] = ("pnum_ick", "pval_ick")) -> list[Column]:
-    """Share of the most important counterpart, as aggregates over pair totals."""
-    return [pct(F.max(c), F.sum(c)).alias(name) for c, name in zip(("n", "v"), names)]
+    With k = 1 the largest part is a maximum and everything is one aggregate.
+    """
+    if k == 1:
+        tops = [pct(F.max(c), F.sum(c)).alias(name) for c, name in zip(("n", "v"), names)]
+        return pairs.groupBy(actor).agg(*extra, *tops)
+    base = pairs.groupBy(actor).agg(*extra, F.sum("n").alias("__tn"), F.sum("v").alias("__tv"))
+    out = combine(
+        [actor],
+        base,
+        top_k_total(pairs, actor, counterpart, "n", k, "__kn"),
+        top_k_total(pairs, actor, counterpart, "v", k, "__kv"),
+    )
+    ratios = {names[0]: pct(F.col("__kn"), F.col("__tn")), names[1]: pct(F.col("__kv"), F.col("__tv"))}
+    return out.withColumns(ratios).drop("__tn", "__tv", "__kn", "__kv")
 
 
-def ratio_from_pairs(
-    pairs: DataFrame, actor: str, counterpart: str, k: int, names: Sequence[str] = ("pnum_ick", "pval_ick")
+def concentration_ratio(
+    df: DataFrame, actor: str, counterpart: str, value: str, k: int, names: Sequence[str] = RATIO_NAMES
 ) -> DataFrame:
-    if k == 1:
-        return pairs.groupBy(actor).agg(*top_one_shares(names))
-    by_count = top_k_share(pairs, actor, counterpart, "n", k, names[0])
-    by_value = top_k_share(pairs, actor, counterpart, "v", k, names[1])
-    return join_null_safe(by_count, by_value, [actor])
+    """Share of the k most important counterparts by count and by value."""
+    return index_from_pairs(pair_totals(df, actor, counterpart, value), actor, counterpart, k, names=names)
 
 
 def closed_share(df: DataFrame, by: Sequence[str], process: str, closed: Sequence, value: str) -> DataFrame:

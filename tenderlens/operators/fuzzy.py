@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.jaro import jaro_distance
+from ..session import cut_lineage
 from .joins import join_null_safe
 
 # letters from rare to frequent: only an ordering hint, any order is correct
@@ -26,14 +27,18 @@ _EPS = 1e-9
 
 def _tokens(text: Column) -> Column:
     """Characters numbered by occurrence, repeated and rare ones first."""
-    chars = F.array_sort(F.split(text, ""))
 
-    def token(c, i):
-        seen = i - F.array_position(chars, c).cast("int") + 1
-        rank = F.translate(F.upper(c), _RARE_FIRST, _RANKS)
-        return F.concat(F.lpad((9999 - seen).cast("string"), 4, "0"), rank, c)
+    def numbered(chars):
+        def token(c, i):
+            seen = i - F.array_position(chars, c).cast("int") + 1
+            rank = F.translate(F.upper(c), _RARE_FIRST, _RANKS)
+            return F.concat(F.lpad((9999 - seen).cast("string"), 4, "0"), rank, c)
 
-    return F.array_sort(F.transform(chars, token))
+        return F.transform(chars, token)
+
+    # the one-element array binds the sorted characters once per text
+    bound = F.transform(F.array(F.sort_array(F.split(text, ""))), numbered)
+    return F.sort_array(bound[0])
 
 
 def _shared_needed(n: Column, other: Column, s: float) -> Column:
@@ -62,8 +67,6 @@ def similar_texts(left: DataFrame, x: str, right: DataFrame, y: str, max_dist: f
     a = _blocks(lt, x, s, "__n", "__l")
     b = _blocks(rt, y, s, "__l", "__n")
     pairs = a.join(b, ["__n", "__l", "__t"], "inner").select(x, y).distinct()
-    shared = F.size(F.array_intersect(_tokens(F.col(x)), _tokens(F.col(y))))
-    pairs = pairs.filter(shared >= _shared_needed(F.length(x), F.length(y), s))
     near = pairs.withColumn(name, jaro_distance(F.col(x), F.col(y))).filter(F.col(name) <= max_dist)
     # two empty texts are equal
     empty = lt.filter(F.col(x) == "").join(rt.filter(F.col(y) == ""), F.col(x) == F.col(y), "inner")
@@ -87,7 +90,8 @@ def fuzzy_join(
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
     xs, ys = [x for x, _ in on], [y for _, y in on]
-    lk, rk = left.select(*xs).distinct(), right.select(*ys).distinct()
+    # the distinct keys are read several times below and are far fewer than the rows behind them
+    lk, rk = cut_lineage(left.select(*xs).distinct()), cut_lineage(right.select(*ys).distinct())
     dists = [f"{name}_{i}" for i in range(1, len(on) + 1)]
     found = lk.join(similar_texts(lk, xs[0], rk, ys[0], max_dist, dists[0]), xs[0], "inner").join(rk, ys[0], "inner")
     for x, y, d in zip(xs[1:], ys[1:], dists[1:]):

@@ -21,6 +21,19 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[tag + k for k in keys])
 
 
+def combine(keys: Sequence[str], *frames: DataFrame) -> DataFrame:
+    """Put tables with at most one row per key side by side (a full outer join on all of them).
+
+    A union and one aggregate: one shuffle for any number of tables, and NULL is a key like any
+    other. Columns besides the keys have different names in each table.
+    """
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame, allowMissingColumns=True)
+    rest = [c for c in out.columns if c not in keys]
+    return out.groupBy(*keys).agg(*[F.max(c).alias(c) for c in rest])
+
+
 def left_join(left: DataFrame, right: DataFrame, key: str | Sequence[str]) -> DataFrame:
     return left.join(right, key, "left")
 

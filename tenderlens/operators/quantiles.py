@@ -62,13 +62,11 @@ def _running(df: DataFrame, part: Sequence[str], order: str, count: str) -> Data
 
 def _by_selection(base: DataFrame, by: list[str], probs: Mapping[str, float]) -> DataFrame:
     spark = base.sparkSession
-    values = base.filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    if not by:
-        values, by_work = values.withColumn("__all", F.lit(1)), ["__all"]
-    else:
-        by_work = by
+    by_work = by or ["__all"]
+    v = F.when(~F.isnan("__v"), F.col("__v"))
+    rows = (base if by else base.withColumn("__all", F.lit(1))).withColumn("__v", v)
     v = F.col("__v")
-    values = values.withColumn(
+    rows = rows.withColumn(
         "__b1",
         F.when(v == F.lit(float("inf")), F.lit(10**6))
         .when(v == F.lit(float("-inf")), F.lit(-(10**6)))
@@ -76,11 +74,13 @@ def _by_selection(base: DataFrame, by: list[str], probs: Mapping[str, float]) ->
     )
 
     # slice 1: logarithmic buckets, a bounded number of rows per group
-    coarse = values.groupBy(*by_work, "__b1").agg(
+    values = rows.filter(F.col("__v").isNotNull())
+    all_coarse = rows.groupBy(*by_work, "__b1").agg(
         F.count("*").alias("__n"), F.min("__v").alias("__min"), F.max("__v").alias("__max")
     )
+    coarse = all_coarse.filter(F.col("__b1").isNotNull())
+    totals = coarse.groupBy(*by_work).agg(F.sum("__n").alias("__total"))
     coarse = _running(coarse, by_work, "__b1", "__n")
-    totals = values.groupBy(*by_work).agg(F.count("*").alias("__total"))
     wanted = []
     for name, p in probs.items():
         h = (F.col("__total") - 1) * F.lit(float(p))
@@ -127,7 +127,7 @@ def _by_selection(base: DataFrame, by: list[str], probs: Mapping[str, float]) ->
     wide = pair.groupBy(*by_work).agg(*[F.max(F.when(F.col("__name") == n, value)).alias(n) for n in probs])
     if by:
         # groups without a value still get a row
-        keys = base.select(*by).distinct()
+        keys = all_coarse.select(*by).distinct()
         return join_null_safe(keys, wide, by, "left").select(*by, *probs)
     empty = spark.createDataFrame([(1,)], "__all int")
     return empty.join(wide, "__all", "left").select(*probs)

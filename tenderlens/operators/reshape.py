@@ -34,12 +34,15 @@ def lengthen(df: DataFrame, keys: Sequence[str], cols: Sequence[str], name: str
     return df.unpivot(list(keys), list(cols), name, value)
 
 
-def period_bins(df: DataFrame, year: str, width: int = 2, name: str = "period") -> tuple[DataFrame, list[int]]:
+def period_bins(
+    df: DataFrame, year: str, width: int = 2, name: str = "period", years: DataFrame | None = None
+) -> tuple[DataFrame, list[int]]:
     """Equal-width, right-closed year bins numbered from 1; also returns the bin numbers.
 
-    The number of bins is the number of distinct years over ``width``, rounded down.
+    The number of bins is the number of distinct years over ``width``, rounded down. ``years`` may
+    supply the rows that define the bins.
     """
-    lo, hi, n = df.agg(F.min(year), F.max(year), F.count_distinct(year)).first()
+    lo, hi, n = (df if years is None else years).agg(F.min(year), F.max(year), F.count_distinct(year)).first()
     k = max(int((n or 0) // width), 1)
     y = F.col(year)
     if n and hi > lo:

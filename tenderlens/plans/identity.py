@@ -12,6 +12,7 @@ from ..operators.aggregates import n_distinct
 from ..operators.joins import best_match, join_null_safe, keep_out
 from ..operators.fuzzy import fuzzy_join
 from ..operators.windows import with_row_id
+from ..session import cut_lineage
 
 # Words that mark a street address in a name field.
 STREET_WORDS = ("CARRERA", "CRA", "KR", "CALLE", "CLL", "CLCRA", "AVENI", "MANZANACASA")
@@ -163,5 +164,6 @@ def standardize_suppliers(
     """Contracts with ``id_std`` and ``name_std``, joined back on the four raw fields."""
     raw = [ident, name, rep_id, rep_name]
     distinct = contracts.groupBy(*raw).agg(F.count("*").alias("n"))
-    repaired = repair_identity(distinct, ident, name, rep_id, rep_name, fixed_names)
+    # one row per raw identity, read by both voting passes and by the join back
+    repaired = cut_lineage(repair_identity(distinct, ident, name, rep_id, rep_name, fixed_names).select(*raw, "n", "id_new", "name_new"))
     return join_null_safe(contracts, resolve_identities(repaired, raw), raw, "left")

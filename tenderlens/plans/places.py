@@ -11,6 +11,7 @@ from ..functions import scalar as S
 from ..operators.fuzzy import fuzzy_join
 from ..operators.joins import best_match, join_null_safe, override
 from ..operators.windows import share_of_total
+from ..session import cut_lineage
 
 TOLERANCE = 0.2
 
@@ -64,7 +65,7 @@ def resolve_places(
     Both keys must be within the tolerance; the smallest mean distance wins, then the smallest
     code. Matching runs on distinct places only.
     """
-    seen = df.select(dept, place).distinct().withColumns(
+    seen = cut_lineage(df.select(dept, place).distinct()).withColumns(
         {"__dk": S.place_key(F.col(dept)), "__pk": S.place_key(F.col(place))}
     )
     known = gazetteer.select(

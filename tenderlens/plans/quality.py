@@ -55,13 +55,15 @@ def standardize_contracts(df: DataFrame, last_year: int = 2019, compat: bool = F
     Expects the raw contract columns; see ``RAW_CONTRACT_SCHEMA``.
     """
     c = F.col
-    out = df.withColumns(
+    # lower-case once, not once per pattern
+    out = df.withColumns({"tipo_proceso": F.lower("tipo_proceso"), "tipo_contrato": F.lower("tipo_contrato")})
+    out = out.withColumns(
         {
             "ruta_web": S.remove_all(c("ruta_web"), URL_PREFIX),
             "nombre_entidad": S.nth_part(c("nombre_entidad"), " - ", 2),
-            "tipo_proceso_cod": S.recode_regex(F.lower("tipo_proceso"), PROCESS_CODES),
+            "tipo_proceso_cod": S.recode_regex(c("tipo_proceso"), PROCESS_CODES),
             "es_regimen_especial": S.flag(c("regimen_contratacion") == SPECIAL_REGIME),
-            "tipo_contrato_cod": S.recode_regex(F.lower("tipo_contrato"), CONTRACT_CODES),
+            "tipo_contrato_cod": S.recode_regex(c("tipo_contrato"), CONTRACT_CODES),
             "son_cop": S.flag(c("moneda") != FOREIGN_CURRENCY),
             "plazo_ejec_contrato": S.term_days(c("plazo_ejec_contrato"), c("rango_ejec_contrato")),
             "adiciones_dias": S.extension_days(c("tiempo_adiciones_dias"), c("tiempo_adiciones_meses")),

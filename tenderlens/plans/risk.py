@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as S
 from ..operators.aggregates import actor_profile, min_participation, n_places
-from ..operators.concentration import hhi_of, pair_totals, ratio_from_pairs
-from ..operators.joins import join_null_safe
+from ..operators.concentration import hhi_of, index_from_pairs, pair_totals
+from ..operators.joins import combine, join_null_safe
 from ..operators.quantiles import quantile_struct
 from ..operators.reshape import period_bins, widen_many
 from ..operators.windows import persistent_flag, rate_of_change
@@ -45,9 +45,10 @@ BUYERS = Roles("buyer_id", "supplier_id")
 SUPPLIERS = Roles("supplier_id", "buyer_id", min_contracts=3, min_counterparts=2, k=1)
 
 
-def eligible(df: DataFrame, r: Roles) -> DataFrame:
-    """Contracts of the actors with enough participation."""
-    actors = min_participation(df, r.actor, r.counterpart, r.min_contracts, r.min_counterparts)
+def eligible(df: DataFrame, r: Roles, contracts: DataFrame | None = None) -> DataFrame:
+    """Rows of the actors with enough participation in ``contracts`` (by default ``df`` itself)."""
+    source = df if contracts is None else contracts
+    actors = min_participation(source, r.actor, r.counterpart, r.min_contracts, r.min_counterparts)
     return join_null_safe(df, actors.select(r.actor), [r.actor], "left_semi")
 
 
@@ -66,9 +67,14 @@ def _flags(r: Roles) -> list[Column]:
     ]
 
 
-def _actor_sums(pairs: DataFrame, r: Roles) -> DataFrame:
-    """Concentration and red-flag shares of the eligible actors from their pair totals."""
-    sums = pairs.groupBy(r.actor).agg(
+def red_flags(df: DataFrame, r: Roles) -> DataFrame:
+    """Concentration and red-flag shares of the eligible actors from one pre-aggregate."""
+    pairs = pair_totals(df, r.actor, r.counterpart, r.value, *_flags(r))
+    out = index_from_pairs(
+        pairs,
+        r.actor,
+        r.counterpart,
+        r.k,
         F.sum("n").alias("__n"),
         F.count("*").alias("n_counterparts"),
         hhi_of("n").alias("num_hhi"),
@@ -81,21 +87,11 @@ def _actor_sums(pairs: DataFrame, r: Roles) -> DataFrame:
         S.pct(F.sum("add_n"), F.sum("n")).alias("pnum_added"),
         S.pct(F.sum("add_v"), F.sum("v")).alias("pval_added"),
     )
-    enough = (F.col("__n") >= r.min_contracts) & (F.col("n_counterparts") >= r.min_counterparts)
-    return sums.filter(enough).drop("__n")
-
+    return _enough(out, r).drop("__n")
 
-def red_flags(df: DataFrame, r: Roles) -> DataFrame:
-    """HHI and red-flag shares without the profile: one pass and no join."""
-    return _actor_sums(pair_totals(df, r.actor, r.counterpart, r.value, *_flags(r)), r)
 
-
-def actor_indicators_lean(df: DataFrame, r: Roles) -> DataFrame:
-    """All concentration and red-flag indicators, without the value profile."""
-    pairs = pair_totals(df, r.actor, r.counterpart, r.value, *_flags(r))
-    return join_null_safe(
-        _actor_sums(pairs, r), ratio_from_pairs(pairs, r.actor, r.counterpart, r.k), [r.actor], "inner"
-    )
+def _enough(index: DataFrame, r: Roles) -> DataFrame:
+    return index.filter((F.col("__n") >= r.min_contracts) & (F.col("n_counterparts") >= r.min_counterparts))
 
 
 def actor_indicators(df: DataFrame, r: Roles, **kw) -> DataFrame:
@@ -104,11 +100,10 @@ def actor_indicators(df: DataFrame, r: Roles, **kw) -> DataFrame:
     One (actor, counterpart) pre-aggregate supplies participation, HHI, top-k and all shares.
     Only the profile (median and further distinct counts) reads the contracts again.
     """
-    pairs = pair_totals(df, r.actor, r.counterpart, r.value, *_flags(r))
-    sums = _actor_sums(pairs, r)
-    top = ratio_from_pairs(pairs, r.actor, r.counterpart, r.k)
     facts = actor_profile(df, [r.actor], r.value, dict(r.distincts), **kw)
-    return join_null_safe(join_null_safe(sums, facts, [r.actor], "inner"), top, [r.actor], "inner")
+    both = combine([r.actor], red_flags(df, r), facts)
+    # actors below the participation limits have a profile only
+    return both.filter(F.col("n_counterparts").isNotNull())
 
 
 def buyer_indicators(df: DataFrame, r: Roles = BUYERS, **kw) -> DataFrame:
@@ -119,37 +114,57 @@ def supplier_indicators(df: DataFrame, r: Roles = SUPPLIERS, places: DataFrame |
     """Supplier indicators with active years and, given an activity table, number of places."""
     out = actor_indicators(df, r, **kw)
     years = df.select(r.actor, F.year(r.signed).alias("__y")).distinct()
-    out = join_null_safe(out, years.groupBy(r.actor).agg(F.count("*").alias("n_active_years")), [r.actor])
+    more = [years.groupBy(r.actor).agg(F.count("*").alias("n_active_years"))]
     if places is not None:
-        out = join_null_safe(out, n_places(places, r.actor), [r.actor])
-    return out
+        more.append(n_places(places, r.actor))
+    return combine([r.actor], out, *more).filter(F.col("n_counterparts").isNotNull())
 
 
 # ---------------------------------------------------------------- by period
 
 
-def _concentration(df: DataFrame, r: Roles) -> DataFrame:
+def concentration(df: DataFrame, r: Roles, keep_counts: bool = False) -> DataFrame:
+    """HHI and k-firm ratios of the eligible actors, with their counts if wanted."""
     pairs = pair_totals(df, r.actor, r.counterpart, r.value)
-    index = pairs.groupBy(r.actor).agg(hhi_of("n").alias("num_hhi"), hhi_of("v").alias("val_hhi"))
-    return join_null_safe(index, ratio_from_pairs(pairs, r.actor, r.counterpart, r.k), [r.actor], "inner")
+    out = index_from_pairs(
+        pairs,
+        r.actor,
+        r.counterpart,
+        r.k,
+        F.sum("n").alias("__n"),
+        F.count("*").alias("n_counterparts"),
+        hhi_of("n").alias("num_hhi"),
+        hhi_of("v").alias("val_hhi"),
+    )
+    out = _enough(out, r)
+    return out.withColumnRenamed("__n", "n_contracts") if keep_counts else out.drop("__n", "n_counterparts")
+
+
+_FLAGS = ("closed", "extended", "added")
 
 
 def period_table(df: DataFrame, r: Roles, width: int = 2, **kw) -> tuple[DataFrame, list[int]]:
-    """Profile, winners rate and 0/1 occurrence flags per (actor, period)."""
-    df, periods = period_bins(eligible(df, r).withColumn("__year", F.year(r.signed)), "__year", width)
+    """Profile, winners rate and 0/1 occurrence flags per (actor, period), for all actors.
+
+    The bins come from the years of the eligible actors; the eligibility test runs on the distinct
+    (actor, year) pairs, not on the contracts.
+    """
+    df = df.withColumn("__year", F.year(r.signed))
+    years = eligible(df.select(r.actor, "__year").distinct(), r, contracts=df)
+    df, periods = period_bins(df, "__year", width, years=years)
     keys = [r.actor, "period"]
-    facts = actor_profile(df, keys, r.value, {**r.distincts, "n_counterparts": r.counterpart}, **kw)
-    facts = facts.withColumn("pnum_winners", S.pct(F.col("n_counterparts"), F.col("n_contracts")))
-    flags = df.groupBy(*keys).agg(
-        F.max(S.in_set(F.col(r.process), r.closed).cast("int")).alias("closed"),
-        F.max(F.coalesce(F.col(r.extension) > 0, F.lit(False)).cast("int")).alias("extended"),
-        F.max(F.coalesce(F.col(r.addition) > 0, F.lit(False)).cast("int")).alias("added"),
-    )
-    return join_null_safe(facts, flags, keys, "inner"), periods
+    seen = [
+        S.in_set(F.col(r.process), r.closed),
+        F.coalesce(F.col(r.extension) > 0, F.lit(False)),
+        F.coalesce(F.col(r.addition) > 0, F.lit(False)),
+    ]
+    distincts = {**r.distincts, "n_counterparts": r.counterpart}
+    flags = [F.max(c.cast("int")) for c in seen]
+    facts = actor_profile(df, keys, r.value, distincts, extra=flags, extra_names=_FLAGS, **kw)
+    return facts.withColumn("pnum_winners", S.pct(F.col("n_counterparts"), F.col("n_contracts"))), periods
 
 
 _MEASURES = ("n_contracts", "val_contracts", "val_mean", "val_median", "val_sd")
-_FLAGS = ("closed", "extended", "added")
 
 
 def indicators_by_period(df: DataFrame, r: Roles, mode: str = "abs", width: int = 2, **kw) -> DataFrame:
@@ -169,14 +184,15 @@ def indicators_by_period(df: DataFrame, r: Roles, mode: str = "abs", width: int
         rates = rate_of_change(table, keys, "period", measures)
         winners = rate_of_change(table, keys, "period", ["pnum_winners"], digits=None)
         persist = persistent_flag(table, keys, "period", {f: f"r_{f}" for f in _FLAGS})
-        on = [r.actor, "period"]
-        joined = join_null_safe(join_null_safe(rates, winners, on, "inner"), persist, on, "inner")
+        joined = combine([r.actor, "period"], rates, winners, persist)
         cols = [*[f"{m}_r" for m in measures], "pnum_winners_r", *[f"r_{f}" for f in _FLAGS]]
         wide = widen_many(joined, keys, "period", cols, periods[1:])
     else:
         raise ValueError("mode is 'abs' or 'rel'")
     filled = S.fill_non_finite(wide, 0, [c for c in wide.columns if c != r.actor])
-    return join_null_safe(filled, _concentration(eligible(df, r), r), [r.actor])
+    both = combine([r.actor], filled, concentration(df, r))
+    # keep actors that are eligible and have a row for this mode
+    return both.filter(F.col("num_hhi").isNotNull() & F.col(wide.columns[-1]).isNotNull())
 
 
 # ---------------------------------------------------------------- composite index

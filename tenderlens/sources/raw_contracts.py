@@ -87,7 +87,7 @@ def raw_sql(columns=None) -> str:
 
 def raw_contracts(spark: SparkSession, sf_dir: str, columns=None) -> DataFrame:
     """The raw view over the tables; unused columns are pruned from the scans."""
-    df = table(spark, sf_dir, "lineitem")
+    df = table(spark, sf_dir, "lineitem", spread=True)
     for name, left, right in (
         ("orders", "l_orderkey", "o_orderkey"),
         ("supplier", "l_suppkey", "s_suppkey"),
