@@ -145,6 +145,8 @@ def _abs_sql(actor, other, n, m, k):
         for p in (1, 2, 3):
             cell = f"coalesce(max(CASE WHEN period = {p} THEN {c} END), 0)"
             digits = {"val_contracts": 2, "val_mean": 6}.get(c, 4)
+            # the mean of whole cents over 32 contracts lies exactly between two 6-digit values
+            cell += " + 1e-8" if c == "val_mean" else ""
             cells.append(f"CAST({cell} AS BIGINT) AS {c}_{p}" if c in _COUNTS else f"round({cell}, {digits}) AS {c}_{p}")
     for f in ("closed", "extended", "added"):
         cells += [f"CAST(coalesce(max(CASE WHEN period = {p} THEN {f} END), 0) AS INTEGER) AS b_{f}_{p}" for p in (1, 2, 3)]
@@ -188,6 +190,8 @@ def _rounded_wide(df, keys):
             else:
                 digits[name] = 2 if name.startswith("val_contracts_") else 4
     digits.update({c: 9 for c in R.CONCENTRATION})
+    means = [c for c in digits if c.startswith("val_mean_") and "_r_" not in c]
+    df = df.withColumns({c: F.col(c) + 1e-8 for c in means})
     return rounded(df, **digits)
 
 

@@ -95,11 +95,11 @@ def repair_identity(
 def dominant_values(pairs: DataFrame, key: str, val: str, n: str) -> DataFrame:
     """Most frequent value per key with its share (%), for keys with several values.
 
-    ``pairs`` has the rows to vote with their weights. Ties go to the smallest value. Totals,
+    ``pairs`` has the rows to vote with their weights. Ties go to the smallest value, NULL last. Totals,
     counts and winner are all map-side partial aggregates, so the vote of a key shared by very
     many rows is not gathered in one task.
     """
-    order = F.struct((-F.col(n)).alias("n"), F.col(val).alias("v"))
+    order = F.struct((-F.col(n)).alias("n"), F.col(val).isNull().alias("last"), F.col(val).alias("v"))
     top = pairs.groupBy(key).agg(
         F.min_by(F.struct(F.col(val).alias("v"), F.col(n).alias("n")), order).alias("t"),
         F.sum(n).alias("total"),
