@@ -21,10 +21,11 @@ def s1(spark, d):
         table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"),
         scratch_path(spark, "delimited"),
         "csv",
+        sep=";",
     )
     schema = "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderpriority string"
     keep = ["o_orderkey", "o_totalprice", "o_orderpriority"]
-    return IO.read_delimited(spark, path, schema, sep=",", columns=keep, spread=8)
+    return IO.read_delimited(spark, path, schema, columns=keep, spread=spark.sparkContext.defaultParallelism)
 
 
 @query("S2_table_scan", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import in_set, pct, r_div
+from ..session import cut_lineage
 from .aggregates import share
 from .joins import combine
 
@@ -57,6 +58,8 @@ def index_from_pairs(
     if k == 1:
         tops = [pct(F.max(c), F.sum(c)).alias(name) for c, name in zip(("n", "v"), names)]
         return pairs.groupBy(actor).agg(*extra, *tops)
+    # three readers with different columns: write the pair totals once instead of three full scans
+    pairs = cut_lineage(pairs)
     base = pairs.groupBy(actor).agg(*extra, F.sum("n").alias("__tn"), F.sum("v").alias("__tv"))
     out = combine(
         [actor],

@@ -12,6 +12,7 @@ from ..operators.aggregates import panel_mean, weighted_exposure
 from ..operators.joins import keep_in
 from ..operators.reshape import period_bins, widen, widen_many
 from ..operators.windows import rate_of_change
+from ..session import cut_lineage
 
 # Column names of the territorial panel, in file order.
 PANEL_COLUMNS = (
@@ -172,6 +173,8 @@ def hierarchy_paths(edges: DataFrame, parent: str, node: str, label: str, max_de
             F.lit(depth).alias("depth"),
             F.concat_ws(" > ", "__path", "label").alias("path"),
         )
+        # each level feeds the next one and the result
+        level = cut_lineage(level)
         if level.isEmpty():
             return out
         out = out.unionByName(level)

@@ -43,12 +43,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to reliable storage and continue from there.
+    """Write ``df`` to the shared folder and continue from the written table.
 
-    Needed where later steps read the same rows twice and both reads must see the same
-    physical layout, even after executors are lost.
+    Needed where later steps read the same rows several times, above all when all reads must see
+    the same physical layout. The table is columnar, so each reader takes only its columns, and it
+    outlives the executors that wrote it.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+    spark = df.sparkSession
+    path = scratch_path(spark, "step")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

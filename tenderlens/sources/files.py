@@ -46,11 +46,13 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str) -> Da
     return read_delimited(spark, path, schema, sep=",")
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", compression: str | None = None) -> str:
+def write_table(
+    df: DataFrame, path: str, fmt: str = "parquet", compression: str | None = None, sep: str = ","
+) -> str:
     """Write one dataset; CSV output carries a header and writes missing values as NA."""
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer = writer.option("header", True).option("nullValue", "NA").option("escape", '"')
+        writer = writer.option("header", True).option("nullValue", "NA").option("escape", '"').option("sep", sep)
         compression = compression or "gzip"
     if compression:
         writer = writer.option("compression", compression)
