@@ -34,7 +34,7 @@ idx AS (SELECT *, (num_hhi + val_hhi + pnum_ick + pval_ick) / 4 AS irc, (pnum_ex
 
 
 _BUYER_SQL = _full_sql("buyer_id", "supplier_id", 6, 5, 4)
-_SUPPLIER_SQL = _full_sql(
+SUPPLIER_SQL = _full_sql(
     "supplier_id", "buyer_id", 3, 2, 1,
     ", count(DISTINCT year) AS n_active_years, count(DISTINCT buyer_place) AS n_places",
 )
@@ -68,7 +68,7 @@ def d13(spark, d):
 
 @query(
     "D14_supplier_indicators",
-    f"{_SUPPLIER_SQL} {_select('supplier_id', (*_INT, 'n_active_years', 'n_places'))} FROM ind",
+    f"{SUPPLIER_SQL} {_select('supplier_id', (*_INT, 'n_active_years', 'n_places'))} FROM ind",
 )
 def d14(spark, d):
     df = stage(contracts(spark, d, [*_NEED, "buyer_place"]), "contracts")
@@ -84,7 +84,7 @@ def flagship(spark, d):
 
 @query(
     "D17_composite_index",
-    _SUPPLIER_SQL
+    SUPPLIER_SQL
     + """ SELECT a AS supplier_id, CAST(n_contracts AS BIGINT) AS n_contracts, CAST(n_counterparts AS BIGINT) AS n_counterparts,
 round(num_hhi, 6) AS num_hhi, round(val_hhi, 6) AS val_hhi, round(pnum_ick, 6) AS pnum_ick, round(pval_ick, 6) AS pval_ick, round(irc, 6) AS irc,
 CASE WHEN irc / (SELECT max(irc) FROM idx) < 0.444 THEN 'Bajo' WHEN irc / (SELECT max(irc) FROM idx) < 0.744 THEN 'Medio' ELSE 'Alto' END AS irc_band
@@ -109,7 +109,7 @@ def d17b(spark, d):
 
 @query(
     "D18_consolidate_features",
-    _SUPPLIER_SQL
+    SUPPLIER_SQL
     + """ SELECT a AS supplier_id, round(additions, 6) AS additions, round(closed, 6) AS closed,
 CASE WHEN additions <= (SELECT avg(additions) FROM idx) THEN 'Bajo' WHEN additions <= (SELECT quantile_cont(additions, 0.9) FROM idx) THEN 'Medio'
 ELSE 'Alto' END AS additions_band FROM idx""",
