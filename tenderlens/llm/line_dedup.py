@@ -24,8 +24,10 @@ def line_key(line: Column) -> Column:
 class LineRuns:
     """The runs, by level. Tables are external ones in the shared folder and known only to this session."""
 
-    def __init__(self, spark: SparkSession, buckets: int = 32, fanout: int = 3):
-        self.spark, self.buckets, self.fanout = spark, buckets, fanout
+    def __init__(self, spark: SparkSession, buckets: int | None = None, fanout: int = 2):
+        # As many buckets as shuffle partitions: a run is then written, and joined, by one task per bucket.
+        self.spark, self.fanout = spark, fanout
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = []
         self._n, self._tag = 0, uuid.uuid4().hex[:12]
 
@@ -79,9 +81,9 @@ def line_dedup(
     id_col: str = "doc_id",
     text_col: str = "text",
     min_chars: int = 10,
-    batches: int = 4,
-    buckets: int = 32,
-    fanout: int = 3,
+    batches: int = 3,
+    buckets: int | None = None,
+    fanout: int = 2,
     text_out: str = "kept_text",
 ) -> DataFrame:
     """All columns of ``docs`` and ``n_lines``, ``n_dropped``, ``kept_text`` (whole text without the dropped lines).
