@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import langid
+from .bpe import bpe_decode, bpe_encode
 from .common import scratch_path, table
 from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
+from .pack import pack
 from .url_filter import url_filter
 from .warc import parse_records, read_records, write_archive
 
@@ -27,6 +30,26 @@ def query(key: str, sql: str | None = None):
     return register
 
 
+@query("op2_language_id")
+def op2(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    dictionaries = langid.learn(docs.where(~held_out), "doc_id", "text", "lang")
+    out = langid.identify(docs.withColumn("held_out", held_out), dictionaries, keep=["doc_id", "held_out"])
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op3_bpe_chunks")
+def op3(spark, sf_dir):
+    out = bpe_decode(bpe_encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return out.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query(
     "op4_exact_dedup",
     r"""
@@ -49,6 +72,12 @@ def op6(spark, sf_dir):
     return url_filter(table(spark, sf_dir, "pages").select("page_id", "url"))
 
 
+@query("op8_pack")
+def op8(spark, sf_dir):
+    out = pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 @query(
     "op9_line_dedup",
     r"""
