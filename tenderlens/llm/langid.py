@@ -48,12 +48,17 @@ def learn(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, rows:
 
 
 @functools.lru_cache(4)
-def _compressors(dictionaries: tuple[tuple[str, bytes], ...], level: int):
+def _compressors(dictionaries: tuple[tuple[str, bytes], ...]):
+    """Matches from four bytes on, since most of what tells languages apart is short."""
+    params = zstandard.ZstdCompressionParameters(
+        window_log=18, strategy=zstandard.STRATEGY_GREEDY, min_match=4, hash_log=17, chain_log=17, search_log=4,
+        target_length=32, write_content_size=False, write_checksum=False,
+    )
     out = []
     for _, raw in dictionaries:
         d = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        d.precompute_compress(level=level)
-        out.append(zstandard.ZstdCompressor(level=level, dict_data=d, write_content_size=False, write_checksum=False))
+        d.precompute_compress(compression_params=params)
+        out.append(zstandard.ZstdCompressor(dict_data=d, compression_params=params))
     return out
 
 
@@ -67,7 +72,6 @@ def identify(
     id_col: str = "doc_id",
     text_col: str = "text",
     min_margin: float = 0.0,
-    level: int = 1,
     keep: list[str] | None = None,
 ) -> DataFrame:
     """One row per input row: the columns ``keep`` (default: the id), ``lang_pred``, ``score``, ``rejected``.
@@ -84,7 +88,7 @@ def identify(
     names = [*kept.columns[1:], "lang_pred", "score", "rejected"]
 
     def run(batches):
-        made = _compressors(given, level)
+        made = _compressors(given)
         empty = [len(c.compress(b"")) for c in made]
         for b in batches:
             for start in range(0, b.num_rows, 1000):

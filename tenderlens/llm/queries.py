@@ -12,6 +12,7 @@ from .bpe import bpe_decode, bpe_encode
 from .common import scratch_path, table
 from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
+from .minhash import near_duplicates
 from .pack import pack
 from .url_filter import url_filter
 from .warc import parse_records, read_records, write_archive
@@ -30,6 +31,11 @@ def query(key: str, sql: str | None = None):
     return register
 
 
+@query("op1_minhash_bayes")
+def op1(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
+
+
 @query("op2_language_id")
 def op2(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
