@@ -14,6 +14,7 @@ from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
 from .minhash import near_duplicates
 from .pack import pack
+from .topk import top_k
 from .url_filter import url_filter
 from .warc import parse_records, read_records, write_archive
 
@@ -78,6 +79,22 @@ def op6(spark, sf_dir):
     return url_filter(table(spark, sf_dir, "pages").select("page_id", "url"))
 
 
+@query(
+    "op7_voronoi_topk",
+    """
+WITH b AS (
+  SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(1024 * x)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.v, d.v) AS BIGINT) AS score
+  FROM b q JOIN b d ON q.vec_id % 100 = 0 AND q.vec_id <> d.vec_id
+), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 10""",
+)
+def op7(spark, sf_dir):
+    return top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 @query("op8_pack")
 def op8(spark, sf_dir):
     out = pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
