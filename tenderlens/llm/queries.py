@@ -11,6 +11,7 @@ from . import langid
 from .bpe import bpe_decode, bpe_encode
 from .common import scratch_path, table
 from .exact_dedup import exact_dedup
+from .licences import scan
 from .line_dedup import line_dedup
 from .minhash import near_duplicates
 from .pack import pack
@@ -74,6 +75,16 @@ def op4(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query("op5_licence_scan")
+def op5(spark, sf_dir):
+    """Documents as files ``source/lang/block/doc_id``; one that opens with a notice is its directory's licence file."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    block = F.floor(F.col("doc_id") / 1000).cast("string")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")), block, F.col("doc_id").cast("string"))
+    out = scan(docs.select(path.alias("path"), "text"), is_licence_file=F.col("line_no") == 0)
+    return out.withColumn("doc_id", F.element_at(F.split("path", "/"), -1).cast("long")).select("doc_id", *out.columns)
+
+
 @query("op6_url_filter")
 def op6(spark, sf_dir):
     return url_filter(table(spark, sf_dir, "pages").select("page_id", "url"))
