@@ -27,7 +27,8 @@ def r1(spark, d):
     return Rs.widen(long, ["buyer_place"], "contract_type", "v", _TYPES)
 
 
-_BY_YEAR = C + ", y AS (SELECT supplier_id, year, count(*) AS n, sum(val) AS v FROM c WHERE year BETWEEN 1996 AND 1998 GROUP BY 1, 2)"
+_YEARS = tuple(range(1995, 2002))
+_BY_YEAR = C + ", y AS (SELECT supplier_id, year, count(*) AS n, sum(val) AS v FROM c GROUP BY 1, 2)"
 
 
 @query(
@@ -37,27 +38,27 @@ _BY_YEAR = C + ", y AS (SELECT supplier_id, year, count(*) AS n, sum(val) AS v F
     + ", ".join(
         f"CAST(coalesce(max(CASE WHEN year = {y} THEN n END), 0) AS BIGINT) AS n_{y}, "
         f"round(coalesce(max(CASE WHEN year = {y} THEN v END), 0), 2) AS v_{y}"
-        for y in (1996, 1997, 1998)
+        for y in _YEARS
     )
     + " FROM y GROUP BY supplier_id",
 )
 def r2(spark, d):
-    df = contracts(spark, d, ["supplier_id", "year", "val"]).filter(F.col("year").between(1996, 1998))
+    df = contracts(spark, d, ["supplier_id", "year", "val"])
     long = df.groupBy("supplier_id", "year").agg(F.count("*").alias("n"), F.round(F.sum("val"), 2).alias("v"))
-    return Rs.widen_many(long, ["supplier_id"], "year", ["n", "v"], [1996, 1997, 1998])
+    return Rs.widen_many(long, ["supplier_id"], "year", ["n", "v"], _YEARS)
 
 
 @query(
     "R3_widen_prefixed",
     _BY_YEAR
     + " SELECT supplier_id, "
-    + ", ".join(f"CAST(coalesce(max(CASE WHEN year = {y} THEN 1 END), 0) AS INTEGER) AS b_{y}" for y in (1996, 1997, 1998))
+    + ", ".join(f"CAST(coalesce(max(CASE WHEN year = {y} THEN 1 END), 0) AS INTEGER) AS b_{y}" for y in _YEARS)
     + " FROM y GROUP BY supplier_id",
 )
 def r3(spark, d):
-    df = contracts(spark, d, ["supplier_id", "year"]).filter(F.col("year").between(1996, 1998))
+    df = contracts(spark, d, ["supplier_id", "year"])
     long = df.distinct().withColumn("b", F.lit(1))
-    return Rs.widen(long, ["supplier_id"], "year", "b", [1996, 1997, 1998], prefix="b_", fill=0)
+    return Rs.widen(long, ["supplier_id"], "year", "b", _YEARS, prefix="b_", fill=0)
 
 
 @query(
@@ -144,9 +145,7 @@ def _abs_sql(actor, other, n, m, k):
     for c in (*_M, "pnum_winners"):
         for p in (1, 2, 3):
             cell = f"coalesce(max(CASE WHEN period = {p} THEN {c} END), 0)"
-            digits = {"val_contracts": 2, "val_mean": 6}.get(c, 4)
-            # the mean of whole cents over 32 contracts lies exactly between two 6-digit values
-            cell += " + 1e-8" if c == "val_mean" else ""
+            digits = {"val_contracts": 2, "val_mean": 7}.get(c, 4)
             cells.append(f"CAST({cell} AS BIGINT) AS {c}_{p}" if c in _COUNTS else f"round({cell}, {digits}) AS {c}_{p}")
     for f in ("closed", "extended", "added"):
         cells += [f"CAST(coalesce(max(CASE WHEN period = {p} THEN {f} END), 0) AS INTEGER) AS b_{f}_{p}" for p in (1, 2, 3)]
@@ -185,13 +184,13 @@ def _rounded_wide(df, keys):
     digits = {}
     for name, kind in df.dtypes:
         if kind == "double" and name not in keys:
-            if "_r_" in name or name.startswith("val_mean_"):
+            if name.startswith("val_mean_") and "_r_" not in name:
+                digits[name] = 7  # means of whole cents are never half-way between two such values
+            elif "_r_" in name:
                 digits[name] = 6
             else:
                 digits[name] = 2 if name.startswith("val_contracts_") else 4
     digits.update({c: 9 for c in R.CONCENTRATION})
-    means = [c for c in digits if c.startswith("val_mean_") and "_r_" not in c]
-    df = df.withColumns({c: F.col(c) + 1e-8 for c in means})
     return rounded(df, **digits)
 
 

@@ -179,8 +179,9 @@ def prefix_by(c: Column, selector: Column, prefixes: Mapping[str, str]) -> Colum
 
 
 def to_double(c: Column) -> Column:
-    """Lenient text to double; unparsable text is NULL."""
-    return F.trim(c).try_cast("double")
+    """Text to double; what is not a plain decimal number (as ``12D`` or ``Infinity``) is NULL."""
+    text = F.trim(c)
+    return F.when(text.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), text.try_cast("double"))
 
 
 def parse_locale_number(c: Column) -> Column:

@@ -61,11 +61,11 @@ def apply_corrections(
 ) -> DataFrame:
     """Overwrite ``cols`` (column -> correction column) where ``fixes`` has a row for the key.
 
-    ``fixes`` holds one row per key. ``derive`` recomputes columns of the corrected rows.
+    Of several rows for a key the one with the smallest corrections counts, so no row is doubled. ``derive``
+    recomputes columns of the corrected rows.
     """
-    marked = fixes.select(
-        key, *[F.col(src).alias(f"__fix_{dst}") for dst, src in cols.items()], F.lit(True).alias("__fixed")
-    )
+    fix = F.min(F.struct(*[F.col(src).alias(f"__fix_{dst}") for dst, src in cols.items()])).alias("__f")
+    marked = fixes.groupBy(key).agg(fix).select(key, "__f.*", F.lit(True).alias("__fixed"))
     out = df.join(marked, key, "left")
     out = out.withColumns({dst: F.when(F.col("__fixed"), F.col(f"__fix_{dst}")).otherwise(F.col(dst)) for dst in cols})
     if derive:

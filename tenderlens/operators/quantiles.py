@@ -26,9 +26,10 @@ def quantiles(
     probs: Mapping[str, float],
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """One row per group with a column per name in ``probs`` (linear interpolation, R type 7)."""
+    """One row per group with a column per name in ``probs`` (linear interpolation, R type 7). NaN counts as missing."""
     by = list(by)
-    base = df.select(*by, F.col(col).cast("double").alias("__v"))
+    v = F.col(col).cast("double")
+    base = df.select(*by, F.when(~F.isnan(v), v).alias("__v"))
     if _largest_group(base, by) <= max_group_rows:
         grouped = base.groupBy(*by) if by else base
         # one percentile call per column set keeps a single value map per group
@@ -63,8 +64,7 @@ def _running(df: DataFrame, part: Sequence[str], order: str, count: str) -> Data
 def _by_selection(base: DataFrame, by: list[str], probs: Mapping[str, float]) -> DataFrame:
     spark = base.sparkSession
     by_work = by or ["__all"]
-    v = F.when(~F.isnan("__v"), F.col("__v"))
-    rows = (base if by else base.withColumn("__all", F.lit(1))).withColumn("__v", v)
+    rows = base if by else base.withColumn("__all", F.lit(1))
     v = F.col("__v")
     rows = rows.withColumn(
         "__b1",

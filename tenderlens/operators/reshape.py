@@ -24,9 +24,12 @@ def widen_many(
     df: DataFrame, keys: Sequence[str], t: str, cols: Sequence[str], values: Sequence, fill=0
 ) -> DataFrame:
     """Long to wide for many value columns, named ``<column>_<period>``."""
+    if not values:
+        return df.select(*keys).distinct()
     aggs = [F.max(F.when(F.col(t) == v, F.col(c))).alias(f"{c}_{v}") for c in cols for v in values]
     out = df.groupBy(*keys).agg(*aggs)
-    return out if fill is None else out.fillna(fill)
+    # the keys are left alone: a NULL actor must not become the actor 0
+    return out if fill is None else out.fillna(fill, subset=[f"{c}_{v}" for c in cols for v in values])
 
 
 def lengthen(df: DataFrame, keys: Sequence[str], cols: Sequence[str], name: str = "name", value: str = "value"):

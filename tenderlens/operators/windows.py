@@ -36,11 +36,13 @@ def head_per_group(df: DataFrame, part: Sequence[str], order: Sequence[Column],
 
 
 def slice_max(df: DataFrame, part: Sequence[str], col: str, tie: Sequence[str]) -> DataFrame:
-    """Row with the largest value per group, ties settled by the smallest ``tie`` columns."""
+    """Row with the largest value of any ordered type per group, ties settled by the smallest ``tie`` columns.
+
+    Spark keeps one row per group and task before the shuffle.
+    """
     rest = [c for c in df.columns if c not in part]
-    order = F.struct(F.col(col).isNull().alias("n"), (-F.col(col)).alias("d"), *[F.col(c) for c in tie])
-    top = df.groupBy(*part).agg(F.min_by(F.struct(*rest), order).alias("__top"))
-    return top.select(*part, *[F.col("__top")[c].alias(c) for c in rest]).select(*df.columns)
+    w = Window.partitionBy(*part).orderBy(F.col(col).desc_nulls_last(), *tie)
+    return df.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") == 1).select(*part, *rest).select(*df.columns)
 
 
 def slice_min(df: DataFrame, part: Sequence[str], col: str) -> DataFrame:
@@ -83,26 +85,42 @@ def outliers_z(df: DataFrame, col: str, limit: float = 3.0) -> DataFrame:
     return zscore(df, [col]).filter((F.col(z) > limit) | (F.col(z) < -limit))
 
 
-def rate_of_change(
-    df: DataFrame, keys: Sequence[str], t: str, cols: Sequence[str], digits: int | None = 4, suffix: str = "_r"
+def period_changes(
+    df: DataFrame,
+    keys: Sequence[str],
+    t: str,
+    cols: Sequence[str] = (),
+    flags: Mapping[str, str] | None = None,
+    digits: int | None = 4,
+    exact: Sequence[str] = (),
+    suffix: str = "_r",
 ) -> DataFrame:
-    """Percentage change against the previous period; rows without one are dropped."""
-    prev = prior_period(df, keys, t, cols, suffix="__prev")
+    """Percentage changes (``exact`` columns unrounded) and persistent flags against the previous period.
+
+    All measures share one pass and one window; rows without a previous period are dropped.
+    """
+    flags = flags or {}
+    prev = prior_period(df, keys, t, [*cols, *flags], suffix="__prev")
     out = {}
     for c in cols:
         change = r_div(F.col(c), F.col(f"{c}__prev")) - 1
-        if digits is not None:
+        if digits is not None and c not in exact:
             # rounding is defined for finite numbers only
             finite = (change < F.lit(float("inf"))) & (change > F.lit(float("-inf")))
             change = F.when(finite, F.bround(change, digits)).otherwise(change)
         out[f"{c}{suffix}"] = change * 100
+    for c, name in flags.items():
+        out[name] = F.when((F.col(c) == 1) & (F.col(f"{c}__prev") == 1), 1).otherwise(0)
     return prev.withColumns(out).select(*keys, t, *out)
 
 
+def rate_of_change(
+    df: DataFrame, keys: Sequence[str], t: str, cols: Sequence[str], digits: int | None = 4, suffix: str = "_r"
+) -> DataFrame:
+    """Percentage change against the previous period; rows without one are dropped."""
+    return period_changes(df, keys, t, cols, digits=digits, suffix=suffix)
+
+
 def persistent_flag(df: DataFrame, keys: Sequence[str], t: str, flags: Mapping[str, str]) -> DataFrame:
     """1 when a flag is set in two consecutive periods (``flags``: flag column -> result column)."""
-    prev = prior_period(df, keys, t, list(flags), suffix="__prev")
-    both = {
-        out: F.when((F.col(c) == 1) & (F.col(f"{c}__prev") == 1), 1).otherwise(0) for c, out in flags.items()
-    }
-    return prev.withColumns(both).select(*keys, t, *both)
+    return period_changes(df, keys, t, flags=flags)

@@ -151,10 +151,11 @@ def enrich_suppliers(
     return weighted_exposure(keep_in(activity, actors.select(actor), actor), panel, actor, place, weight, cols)
 
 
-def hierarchy_paths(edges: DataFrame, parent: str, node: str, label: str, max_depth: int = 16) -> DataFrame:
+def hierarchy_paths(edges: DataFrame, parent: str, node: str, label: str) -> DataFrame:
     """Node, root, depth and path of every node below the roots of an edge list.
 
-    One equality join per level, from the roots down; the levels stop when no child is left.
+    One equality join per level, from the roots down; the levels stop when no child is left. A node that comes up
+    again below itself ends its branch with an error.
     """
     e = edges.select(
         F.nullif(F.col(parent).cast("string"), F.lit("")).alias("__p"),
@@ -162,20 +163,32 @@ def hierarchy_paths(edges: DataFrame, parent: str, node: str, label: str, max_de
         F.col(label).cast("string").alias("label"),
     )
     level = e.filter(F.col("__p").isNull()).select(
-        "node", F.col("node").alias("root"), F.lit(0).alias("depth"), F.col("label").alias("path")
+        "node",
+        F.col("node").alias("root"),
+        F.lit(0).alias("depth"),
+        F.col("label").alias("path"),
+        F.array("node").alias("__seen"),
     )
     out = level
-    for depth in range(1, max_depth + 1):
-        above = level.select(F.col("node").alias("__p"), "root", F.col("path").alias("__path"))
+    depth = 0
+    while True:
+        depth += 1
+        above = level.select(F.col("node").alias("__p"), "root", F.col("path").alias("__path"), "__seen")
+        cyclic = F.array_contains("__seen", F.col("node"))
         level = e.filter(F.col("__p").isNotNull()).join(above, "__p", "inner").select(
             "node",
             "root",
             F.lit(depth).alias("depth"),
             F.concat_ws(" > ", "__path", "label").alias("path"),
+            F.array_append("__seen", F.col("node")).alias("__seen"),
+            cyclic.alias("__again"),
         )
         # each level feeds the next one and the result
         level = cut_lineage(level)
-        if level.isEmpty():
-            return out
+        n, again = level.agg(F.count("*"), F.max("__again")).first()
+        if again:
+            raise ValueError("the hierarchy is cyclic")
+        if not n:
+            return out.drop("__seen")
+        level = level.drop("__again")
         out = out.unionByName(level)
-    raise ValueError(f"hierarchy deeper than {max_depth}, or cyclic")

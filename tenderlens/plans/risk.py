@@ -14,7 +14,7 @@ from ..operators.concentration import hhi_of, index_from_pairs, pair_totals
 from ..operators.joins import combine, join_null_safe
 from ..operators.quantiles import quantile_struct
 from ..operators.reshape import period_bins, widen_many
-from ..operators.windows import persistent_flag, rate_of_change
+from ..operators.windows import period_changes
 
 RELATIVE_CUTS = (0.444, 0.744)
 BUYER_CUTS = (15.0, 30.0)
@@ -181,18 +181,17 @@ def indicators_by_period(df: DataFrame, r: Roles, mode: str = "abs", width: int
         wide = widen_many(named, [r.actor], "period", cols, periods)
     elif mode == "rel":
         keys = [r.actor]
-        rates = rate_of_change(table, keys, "period", measures)
-        winners = rate_of_change(table, keys, "period", ["pnum_winners"], digits=None)
-        persist = persistent_flag(table, keys, "period", {f: f"r_{f}" for f in _FLAGS})
-        joined = combine([r.actor, "period"], rates, winners, persist)
+        joined = period_changes(
+            table, keys, "period", [*measures, "pnum_winners"], {f: f"r_{f}" for f in _FLAGS}, exact=("pnum_winners",)
+        )
         cols = [*[f"{m}_r" for m in measures], "pnum_winners_r", *[f"r_{f}" for f in _FLAGS]]
         wide = widen_many(joined, keys, "period", cols, periods[1:])
     else:
         raise ValueError("mode is 'abs' or 'rel'")
     filled = S.fill_non_finite(wide, 0, [c for c in wide.columns if c != r.actor])
-    both = combine([r.actor], filled, concentration(df, r))
+    both = combine([r.actor], filled.withColumn("__here", F.lit(1)), concentration(df, r))
     # keep actors that are eligible and have a row for this mode
-    return both.filter(F.col("num_hhi").isNotNull() & F.col(wide.columns[-1]).isNotNull())
+    return both.filter(F.col("num_hhi").isNotNull() & F.col("__here").isNotNull()).drop("__here")
 
 
 # ---------------------------------------------------------------- composite index

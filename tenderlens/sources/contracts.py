@@ -8,17 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """One table. ``spread`` shares out the rows of a scan that has fewer splits than there are cores.
-
-    Worth it before costly per-row work on a small file; a large table has splits enough and is
-    left alone.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if spread and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One table. How many splits a scan has is the session's business (``spark.sql.files`` settings)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # view column -> (tables needed besides lineitem, expression)

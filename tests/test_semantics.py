@@ -371,7 +371,7 @@ def test_hierarchy_cycle_is_reported(spark):
     assert rows(Pn.hierarchy_paths(df, "p", "i", "l"), "node", "path")[-1] == ("c", "a > b > c")
     loop = frame(spark, [("", "a", "a"), ("a", "b", "b"), ("b", "b", "b")], "p string, i string, l string")
     with pytest.raises(ValueError):
-        Pn.hierarchy_paths(loop, "p", "i", "l", max_depth=4)
+        Pn.hierarchy_paths(loop, "p", "i", "l")
 
 
 def test_composite_bands(spark):
@@ -399,3 +399,72 @@ def test_model_metrics_by_hand(spark):
     df = frame(spark, [(1.0, 2.0), (2.0, 4.0), (3.0, 6.0)], "prediction double, y double")
     got = metrics(df, "y").first()
     assert math.isclose(got["r2"], 1.0) and math.isclose(got["rmse"], math.sqrt(14 / 3))
+
+
+def test_widen_many_leaves_null_keys_and_no_values(spark):
+    df = spark.createDataFrame([(None, 1, 5.0), (0, 1, 7.0), (0, 2, 9.0)], "a int, t int, v double")
+    assert rows(Rs.widen_many(df, ["a"], "t", ["v"], [1, 2])) == [(None, 5.0, 0.0), (0, 7.0, 9.0)]
+    assert rows(Rs.widen_many(df, ["a"], "t", ["v"], [])) == [(None,), (0,)]
+
+
+def test_relative_periods_with_a_null_actor_and_with_one_period(spark):
+    import datetime
+
+    from tenderlens.plans import risk as R
+
+    def contract(actor, other, year, val):
+        return (actor, other, val, 0.0, 0, 1.0, "x", datetime.date(year, 5, 1), "f", "g")
+
+    schema = "buyer_id int, supplier_id int, val double, addition double, ext_days int, term double, process_type string, signed date, family string, grp string"
+    data = [contract(a, o, y, 10.0 * (y - 2009)) for a in (None, 0) for o in range(6) for y in range(2010, 2014)]
+    out = R.indicators_by_period(spark.createDataFrame(data, schema), R.BUYERS, "rel")
+    assert sorted(r["buyer_id"] is None for r in out.collect()) == [False, True]
+    one = R.indicators_by_period(spark.createDataFrame([x for x in data if x[7].year == 2010], schema), R.BUYERS, "rel")
+    assert not [c for c in one.columns if "_r_" in c] and one.count() == 0
+
+
+def test_corrections_with_a_repeated_key_double_no_row(spark):
+    from tenderlens.operators.joins import apply_corrections
+
+    df = spark.createDataFrame([("u", 1.0), ("w", 2.0)], "url string, v double")
+    fixes = spark.createDataFrame([("u", 9.0), ("u", 8.0)], "url string, real double")
+    assert rows(apply_corrections(df, fixes, "url", {"v": "real"})) == [("u", 8.0), ("w", 2.0)]
+
+
+def test_only_plain_decimal_numbers_are_numbers(spark):
+    from tenderlens.functions.scalar import to_double
+
+    texts = ["12D", "3f", "Infinity", "NaN", " -1.5 ", "2e3", ".5", "7.", "", "x", None]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r["d"] for r in got.select("i", to_double(F.col("t")).alias("d")).orderBy("i").collect()]
+    assert got == [None, None, None, None, -1.5, 2000.0, 0.5, 7.0, None, None, None]
+
+
+def test_slice_max_takes_dates_and_text(spark):
+    df = spark.createDataFrame([("g", "a", 1), ("g", "b", 2), ("g", "b", 3), ("h", None, 4)], "g string, s string, k int")
+    assert rows(Wn.slice_max(df, ["g"], "s", ["k"]), "g", "s", "k") == [("g", "b", 2), ("h", None, 4)]
+
+
+def test_quantiles_take_nan_as_missing_at_every_size(spark):
+    df = spark.createDataFrame([(v,) for v in (1.0, 2.0, 3.0, float("nan"))], "v double")
+    for limit in (0, 100):
+        assert tuple(quantiles(df, [], "v", {"m": 0.5, "x": 1.0}, max_group_rows=limit).first()) == (2.0, 3.0)
+
+
+def test_least_squares_with_a_base_level(spark):
+    import numpy as np
+
+    from tenderlens.plans import models as M
+
+    rng = np.random.default_rng(3)
+    x, g = rng.normal(size=60), rng.integers(0, 3, 60)
+    y = 2 + 3 * x + 5 * (g == 0) - 1 * (g == 1) + rng.normal(size=60)
+    df = spark.createDataFrame([(i, float(a), "abc"[b], float(c)) for i, (a, b, c) in enumerate(zip(x, g, y))], "id int, x double, g string, y double")
+    got = {r["term"]: r for r in M.coefficient_table(M.linear_regression(df, "y", ["id"]), df, ["x"]).collect()}
+    design = np.column_stack([(x - x.mean()) / x.std(ddof=1), g == 0, g == 1, np.ones(60)]).astype(float)
+    beta, *_ = np.linalg.lstsq(design, y, rcond=None)
+    s2 = ((y - design @ beta) ** 2).sum() / 56
+    errors = np.sqrt(np.diag(s2 * np.linalg.inv(design.T @ design)))
+    assert list(got) == ["x", "g=a", "g=b", "(intercept)"]
+    for r, b, e in zip(got.values(), beta, errors):
+        assert abs(r["estimate"] - b) < 1e-8 and abs(r["std_error"] - e) < 1e-8 and 0 <= r["p_value"] <= 1
