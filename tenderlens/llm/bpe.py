@@ -65,7 +65,9 @@ class Chunk:
     def __init__(self, data: bytes, enc: Encoder):
         self.data, self.ids = data, enc.encode(data.decode("utf-8"))
         ends = np.cumsum(enc.size[self.ids])
-        self.safe = np.flatnonzero(enc.ink_last[self.ids[:-1]] & enc.blank_first[self.ids[1:]]) + 1
+        safe = np.flatnonzero(enc.ink_last[self.ids[:-1]] & enc.blank_first[self.ids[1:]]) + 1
+        # Joins need a few places at the start and the last one; the rest would only fill memory.
+        self.safe = np.append(safe[:8], safe[-1:]) if len(safe) > 9 else safe
         self.offset = ends[self.safe - 1] if len(self.safe) else self.safe
 
 
@@ -99,7 +101,7 @@ def join_chunks(chunks: list[Chunk], enc: Encoder) -> np.ndarray:
 class ChunkReuse:
     """Encodes texts, keeping chunks up to ``keep_bytes`` of chunk text; the oldest goes first."""
 
-    def __init__(self, enc: Encoder, keep_bytes: int = 32 << 20):
+    def __init__(self, enc: Encoder, keep_bytes: int = 6 << 20):
         self.enc, self.keep, self.held, self.cache = enc, keep_bytes, 0, {}
         self.encoded = self.reused = 0
 
