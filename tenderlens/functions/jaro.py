@@ -28,7 +28,25 @@ def _codes(texts: np.ndarray, lengths: np.ndarray, pad: int) -> np.ndarray:
     return out
 
 
+_CELLS = 1 << 21
+
+
 def jaro_distances(left: pd.Series, right: pd.Series) -> pd.Series:
+    """Distances in slices of texts of like length, so that one long text does not widen all others."""
+    width = np.maximum(left.str.len().fillna(0).to_numpy(), right.str.len().fillna(0).to_numpy()).astype(np.int64) + 1
+    order = np.argsort(width, kind="stable")
+    out, at = np.empty(len(order)), 0
+    while at < len(order):
+        # as many rows as keep rows * widest text within bounds, at least one
+        room = np.arange(1, len(order) - at + 1) * width[order[at:]] <= _CELLS
+        end = at + max(1, int(room.sum()))
+        part = order[at:end]
+        out[part] = _distances(left.iloc[part], right.iloc[part])
+        at = end
+    return pd.Series(out)
+
+
+def _distances(left: pd.Series, right: pd.Series) -> pd.Series:
     missing = (left.isna() | right.isna()).to_numpy()
     a_text = left.fillna("").to_numpy(dtype=object)
     b_text = right.fillna("").to_numpy(dtype=object)

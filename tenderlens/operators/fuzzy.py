@@ -2,10 +2,12 @@
 
 If two texts of lengths n and l have distance <= d, then with s = 1 - d they share at least
 o = ceil((3s - 1) * n * l / (n + l)) characters (as a multiset), and neither is shorter than
-(3s - 2) times the other. So, with the characters of both in one fixed order, the first n - o + 1
-of one and the first l - o + 1 of the other have a character in common (the prefix-filter
+(3s - 2) times the other. So, with the characters of both in one fixed order, the first n - o + k
+of one and the first l - o + k of the other have k characters in common (the prefix-filter
 principle for set-similarity joins). Candidates therefore come from an equality join on
-(n, l, character), and no partner is lost. Only distinct texts take part.
+(n, l, two characters), rare characters first as counted over the texts, and no partner is lost.
+A pair is kept at its first two common characters only, and then tested for o shared characters
+before its distance is computed. Only distinct texts take part.
 """
 
 from __future__ import annotations
@@ -19,42 +21,51 @@ from ..functions.jaro import jaro_distance
 from ..session import cut_lineage
 from .joins import join_null_safe
 
-# letters from rare to frequent: only an ordering hint, any order is correct
-_RARE_FIRST = "WKXJZFHQYVGBPMUTCLDINRSOAE"
-_RANKS = "abcdefghijklmnopqrstuvwxyz"
 _EPS = 1e-9
 
 
-def _tokens(text: Column) -> Column:
-    """Characters numbered by occurrence, repeated and rare ones first."""
-
-    def numbered(chars):
-        def token(c, i):
-            seen = i - F.array_position(chars, c).cast("int") + 1
-            rank = F.translate(F.upper(c), _RARE_FIRST, _RANKS)
-            return F.concat(F.lpad((9999 - seen).cast("string"), 4, "0"), rank, c)
-
-        return F.transform(chars, token)
-
+def _numbered(text: Column) -> Column:
+    """Characters numbered by occurrence: sets of them intersect as the multisets of characters do."""
     # the one-element array binds the sorted characters once per text
-    bound = F.transform(F.array(F.sort_array(F.split(text, ""))), numbered)
-    return F.sort_array(bound[0])
+    bound = F.transform(
+        F.array(F.sort_array(F.split(text, ""))),
+        lambda chars: F.transform(chars, lambda c, i: F.concat(c, (i - F.array_position(chars, c).cast("int") + 1).cast("string"))),
+    )
+    return bound[0]
 
 
 def _shared_needed(n: Column, other: Column, s: float) -> Column:
     return F.ceil((3 * s - 1) * n * other / (n + other) - _EPS)
 
 
-def _blocks(texts: DataFrame, text: str, s: float, own: str, other: str) -> DataFrame:
-    """One row per admissible partner length and prefix character."""
+def _ordered(texts: DataFrame, text: str, counts: DataFrame, name: str) -> DataFrame:
+    """Each text with its numbered characters (hashed), rare ones first."""
+    each = texts.filter(F.length(text) > 0).select(text, F.explode(F.transform(_numbered(F.col(text)), lambda c: F.xxhash64(c))).alias("__c"))
+    pairs = each.join(counts, "__c").groupBy(text).agg(F.sort_array(F.collect_list(F.struct("__f", "__c"))).alias("__a"))
+    return pairs.select(text, F.transform("__a", lambda x: x["__c"]).alias(name))
+
+
+def _blocks(texts: DataFrame, text: str, toks: str, lengths: DataFrame, s: float, own: str, other: str) -> DataFrame:
+    """One row per admissible partner length and two prefix characters (one, if only one need be shared)."""
     ratio = 3 * s - 2
-    n = F.length(text)
-    low = F.ceil(n * ratio - _EPS).cast("int")
-    high = F.floor(n / ratio + _EPS).cast("int")
-    df = texts.filter(F.length(text) > 0).withColumn("__tok", _tokens(F.col(text))).withColumn(own, n)
-    df = df.withColumn(other, F.explode(F.sequence(F.greatest(low, F.lit(1)), high)))
-    keep = (F.col(own) - _shared_needed(F.col(own), F.col(other), s) + 1).cast("int")
-    return df.select(text, own, other, F.explode(F.slice("__tok", F.lit(1), keep)).alias("__t"))
+    n = F.col(own)
+    df = texts.withColumn(own, F.size(toks))
+    low, high = F.greatest(F.ceil(n * ratio - _EPS).cast("int"), F.lit(1)), F.floor(n / ratio + _EPS).cast("int")
+    df = df.withColumn(other, F.explode(F.sequence(low, high))).join(lengths.withColumnRenamed("__len", other), other, "left_semi")
+    need = _shared_needed(F.col(own), F.col(other), s)
+    k = F.least(need, F.lit(2))
+    df = df.withColumn("__k", k.cast("int")).withColumn(toks, F.slice(toks, F.lit(1), (n - need + k).cast("int")))
+    single = F.transform(toks, lambda t: F.struct(t.alias("a"), F.lit(0).cast("long").alias("b")))
+    double = F.flatten(
+        F.transform(
+            toks,
+            lambda t, i: F.transform(
+                F.slice(toks, i + 2, F.greatest(F.size(toks) - i - 1, F.lit(0))), lambda u: F.struct(t.alias("a"), u.alias("b"))
+            ),
+        )
+    )
+    key = F.explode(F.when(F.col("__k") == 1, single).otherwise(double))
+    return df.select(text, toks, own, other, "__k", key.alias("__key")).select(text, toks, own, other, "__k", "__key.a", "__key.b")
 
 
 def similar_texts(left: DataFrame, x: str, right: DataFrame, y: str, max_dist: float, name: str) -> DataFrame:
@@ -64,9 +75,16 @@ def similar_texts(left: DataFrame, x: str, right: DataFrame, y: str, max_dist: f
     s = 1 - max_dist
     lt = left.select(x).filter(F.col(x).isNotNull()).distinct()
     rt = right.select(y).filter(F.col(y).isNotNull()).distinct()
-    a = _blocks(lt, x, s, "__n", "__l")
-    b = _blocks(rt, y, s, "__l", "__n")
-    pairs = a.join(b, ["__n", "__l", "__t"], "inner").select(x, y).distinct()
+    chars = [t.select(F.explode(F.transform(_numbered(F.col(c)), lambda t: F.xxhash64(t))).alias("__c")) for t, c in ((lt, x), (rt, y))]
+    counts = chars[0].unionByName(chars[1]).groupBy("__c").agg(F.count("*").alias("__f"))
+    left_len, right_len = (t.select(F.length(c).alias("__len")).distinct() for t, c in ((lt, x), (rt, y)))
+    a = _blocks(_ordered(lt, x, counts, "__p"), x, "__p", right_len, s, "__n", "__l")
+    b = _blocks(_ordered(rt, y, counts, "__q"), y, "__q", left_len, s, "__l", "__n").drop("__k")
+    pairs = a.join(b, ["__n", "__l", "a", "b"], "inner")
+    common = F.array_intersect("__p", "__q")
+    first = (common[0] == F.col("a")) & ((F.col("__k") == 1) | (F.get(common, F.lit(1)) == F.col("b")))
+    shared = F.size(F.array_intersect(_numbered(F.col(x)), _numbered(F.col(y))))
+    pairs = pairs.filter(first).filter(shared >= _shared_needed(F.col("__n"), F.col("__l"), s)).select(x, y)
     near = pairs.withColumn(name, jaro_distance(F.col(x), F.col(y))).filter(F.col(name) <= max_dist)
     # two empty texts are equal
     empty = lt.filter(F.col(x) == "").join(rt.filter(F.col(y) == ""), F.col(x) == F.col(y), "inner")
