@@ -291,7 +291,11 @@ def a22(spark, d):
 def _profile_sql(col: str, expr: str) -> str:
     return f"""SELECT '{col}' AS column, CAST(count(*) AS BIGINT) AS n, CAST(count(*) - count(x) AS BIGINT) AS n_missing,
 round(avg(x), 4) AS mean, round(stddev_samp(x), 4) AS sd, round(count(x) / count(*), 9) AS complete_rate, round(min(x), 4) AS p0,
-round(quantile_cont(x, 0.25), 4) AS p25, round(median(x), 4) AS p50, round(quantile_cont(x, 0.75), 4) AS p75, round(max(x), 4) AS p100
+round(quantile_cont(x, 0.25), 4) AS p25, round(median(x), 4) AS p50, round(quantile_cont(x, 0.75), 4) AS p75, round(max(x), 4) AS p100,
+(SELECT string_agg(substr('▁▂▃▅▇', CAST(round(n / m * 4) AS INTEGER) + 1, 1), '' ORDER BY s) FROM (
+  SELECT s, n, max(n) OVER () AS m FROM (SELECT g.s, count(h.s) AS n FROM range(5) g(s) LEFT JOIN (
+    SELECT least(floor((x - min(x) OVER ()) / (max(x) OVER () - min(x) OVER ()) * 5), 4) AS s
+    FROM (SELECT CAST({expr} AS DOUBLE) AS x FROM lineitem) WHERE x IS NOT NULL) h ON g.s = h.s GROUP BY g.s))) AS hist
 FROM (SELECT CAST({expr} AS DOUBLE) AS x FROM lineitem)"""
 
 

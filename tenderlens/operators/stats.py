@@ -14,8 +14,15 @@ from .quantiles import quantiles
 _POINTS = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p100": 1.0}
 
 
-def profile(df: DataFrame, cols: Sequence[str], **kw) -> DataFrame:
-    """Missing values, completeness, mean, sd and quartiles of numeric columns."""
+_BARS = "▁▂▃▅▇"
+
+
+def profile(df: DataFrame, cols: Sequence[str], bars: int = 5, **kw) -> DataFrame:
+    """Missing values, completeness, mean, sd, quartiles and a text histogram of numeric columns.
+
+    ``hist`` has one bar for each of ``bars`` equal slices from the least to the largest value, its height relative to
+    the fullest slice; NULL for columns without a finite value.
+    """
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "column", "value")
     basic = long.groupBy("column").agg(
         F.count("*").alias("n"),
@@ -24,9 +31,29 @@ def profile(df: DataFrame, cols: Sequence[str], **kw) -> DataFrame:
         F.stddev_samp("value").alias("sd"),
     )
     basic = basic.withColumn("complete_rate", 1 - F.col("n_missing") / F.col("n"))
+    basic = basic.join(_bars(df, cols, bars), "column", "left")
     return basic.join(quantiles(long, ["column"], "value", _POINTS, **kw), "column", "left")
 
 
+def _bars(df: DataFrame, cols: Sequence[str], bars: int) -> DataFrame:
+    """(column, hist). The ranges come from a scalar subquery, so all columns are counted in one aggregate."""
+    value = {c: F.when(F.abs(F.col(c).cast("double")) < float("inf"), F.col(c).cast("double")) for c in cols}
+    ends = [f(value[c]).alias(f"{n}_{i}") for i, c in enumerate(cols) for n, f in (("lo", F.min), ("hi", F.max))]
+    span = df.agg(F.struct(*ends).alias("s")).scalar()
+    counts = []
+    for i, c in enumerate(cols):
+        lo, hi = span[f"lo_{i}"], span[f"hi_{i}"]
+        slot = F.when(hi > lo, F.least(F.floor((value[c] - lo) / (hi - lo) * bars), F.lit(bars - 1))).otherwise(F.lit(0))
+        counts.append(F.array(*[F.count_if(value[c].isNotNull() & (slot == k)) for k in range(bars)]).alias(f"c_{i}"))
+    one = df.agg(*counts)
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"c_{i}").alias("k")) for i, c in enumerate(cols)])
+    each = one.select(F.explode(rows).alias("x")).select("x.column", "x.k")
+    glyphs = F.array(*[F.lit(g) for g in _BARS])
+    top = F.array_max("k")
+    bar = F.transform("k", lambda n: F.get(glyphs, F.round(n / top * (len(_BARS) - 1)).cast("int")))
+    return each.select("column", F.when(top > 0, F.array_join(bar, "")).alias("hist"))
+
+
 def profile_text(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Missing values, empty strings, length range and distinct values of text columns."""
     long = df.select(*cols).unpivot([], list(cols), "column", "value")

@@ -468,3 +468,20 @@ def test_least_squares_with_a_base_level(spark):
     assert list(got) == ["x", "g=a", "g=b", "(intercept)"]
     for r, b, e in zip(got.values(), beta, errors):
         assert abs(r["estimate"] - b) < 1e-8 and abs(r["std_error"] - e) < 1e-8 and 0 <= r["p_value"] <= 1
+
+
+def test_scratch_scope_removes_its_own_steps_only(spark, tmp_path):
+    import os
+
+    from tenderlens.session import cut_lineage, scratch_scope, shared_dir
+
+    df = spark.range(5)
+    kept = cut_lineage(df)
+    before = set(os.listdir(shared_dir(spark)))
+    with scratch_scope(spark):
+        with scratch_scope(spark):
+            cut_lineage(df)
+            assert len(set(os.listdir(shared_dir(spark))) - before) == 1
+        assert set(os.listdir(shared_dir(spark))) == before
+        assert cut_lineage(df).count() == 5
+    assert set(os.listdir(shared_dir(spark))) == before and kept.count() == 5
