@@ -138,9 +138,15 @@ def participation_table(df: DataFrame, by: Sequence[str], keep: Column, value: s
 
     ``df`` has one row per actor with its value; ``keep`` selects the actors that are listed.
     """
-    total = df.agg(F.struct(F.count("*").alias("n"), F.sum(value).alias("v")).alias("t")).scalar()
-    grouped = df.filter(keep).groupBy(*by).agg(F.count("*").alias("__n"), F.sum(value).alias("__v"))
-    return grouped.select(
+    # All groups are formed once, listed or not: the totals come from the same exchange.
+    grouped = df.groupBy(*by).agg(
+        F.count_if(keep).alias("__n"),
+        F.sum(F.when(keep, F.col(value))).alias("__v"),
+        F.count("*").alias("__all_n"),
+        F.sum(value).alias("__all_v"),
+    )
+    total = grouped.agg(F.struct(F.sum("__all_n").alias("n"), F.sum("__all_v").alias("v")).alias("t")).scalar()
+    return grouped.filter((F.col("__n") > 0) & (F.col("__all_n") > 0)).select(
         *by, pct(F.col("__n"), total["n"]).alias("pct_actors"), pct(F.col("__v"), total["v"]).alias("pct_value")
     )
 

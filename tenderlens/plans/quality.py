@@ -12,6 +12,7 @@ from ..operators.aggregates import n_distinct, share
 from ..operators.joins import apply_corrections, join_null_safe, keep_in, keep_out, natural_join
 from ..operators.quantiles import quantile_struct
 from ..operators.reshape import quantile_bucket
+from ..session import cut_lineage
 
 # Category patterns (lower-case text) and their codes.
 PROCESS_CODES = (
@@ -269,7 +270,9 @@ def quality_scorecard(
             )
         ],
     )
-    s = df.agg(F.struct(F.avg(v).alias("m"), F.stddev_samp(v).alias("s")).alias("s")).scalar()
+    # One row, written: mean and sd are not computed a second time for the outliers.
+    base = cut_lineage(base)
+    s = base.select(F.struct(F.col("i2").alias("m"), F.col("i3").alias("s")).alias("s")).scalar()
     z = S.r_div(v - s["m"], s["s"])
     outliers = df.agg(F.count_if((z > 3) | (z < -3)).cast("double").alias("n")).scalar()
 

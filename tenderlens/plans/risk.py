@@ -15,6 +15,7 @@ from ..operators.joins import combine, join_null_safe
 from ..operators.quantiles import quantile_struct
 from ..operators.reshape import period_bins, widen_many
 from ..operators.windows import period_changes
+from ..session import cut_lineage
 
 RELATIVE_CUTS = (0.444, 0.744)
 BUYER_CUTS = (15.0, 30.0)
@@ -209,9 +210,12 @@ def composite_index(
 ) -> DataFrame:
     """Mean of the concentration indicators (``irc``) and its risk band (``irc_band``).
 
-    Relative cuts are fractions of the largest index.
+    Relative cuts are fractions of the largest index; the actor table, one row per actor, is then written once to
+    the shared folder, so that the maximum does not compute it a second time.
     """
     out = df.withColumn("irc", S.row_mean([F.col(c) for c in cols]))
+    if relative:
+        out = cut_lineage(out)
     scale = F.col("irc")
     if relative:
         top = out.agg(F.max("irc").alias("m")).scalar()
@@ -225,10 +229,12 @@ def consolidate_features(
 ) -> DataFrame:
     """One addition indicator with its band, and optionally one closed-procurement share.
 
+    The actor table is written once to the shared folder: the cuts read it again.
+
     ``middle`` is the lower cut: 'median' (used for buyers) or 'mean' (used for suppliers).
     """
     parts = ["pnum_extended", "pval_extended", "pnum_added", "pval_added"]
-    out = df.withColumn("additions", S.row_mean([F.col(c) for c in parts]))
+    out = cut_lineage(df.withColumn("additions", S.row_mean([F.col(c) for c in parts])))
     cut = quantile_struct(out, "additions", {"mid": 0.5, "high": q}, **kw)
     low = cut["mid"] if middle == "median" else out.agg(F.avg("additions").alias("m")).scalar()
     out = out.withColumn("additions_band", S.band(F.col("additions"), [low, cut["high"]], BANDS, closed="right"))
