@@ -66,7 +66,6 @@ def actor_profile(
     with_median: bool = True,
     extra: Sequence[Column] = (),
     extra_names: Sequence[str] = (),
-    **kw,
 ) -> DataFrame:
     """Count, sum, mean, median, sd of the value and distinct counts, per actor.
 
@@ -83,7 +82,7 @@ def actor_profile(
         *[c.alias(n) for c, n in zip(extra, extra_names)],
     )
     if with_median:
-        out = combine(by, out, median(df, by, value, "val_median", **kw))
+        out = combine(by, out, median(df, by, value, "val_median"))
         out = out.select(
             *by, "n_contracts", "val_contracts", "val_mean", "val_median", "val_sd", *distincts, *extra_names
         )

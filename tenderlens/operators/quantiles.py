@@ -1,8 +1,9 @@
-"""Exact interpolated quantiles that survive a very large group.
+"""Exact interpolated quantiles of groups of any size.
 
-The built-in exact percentile keeps every distinct value of a group in one task. That is fine
-up to a checked group size. Beyond it the value range is split twice by monotone bucket numbers,
-whose counts are cheap partial aggregates, and only the slice holding each wanted rank is ranked.
+The distinct values of all groups, with their counts, are range-sorted once by (group, value) and written to the
+shared folder. A group then lies in consecutive partitions. Sums per (group, partition) tell how many values stand
+before each partition, and running sums inside a partition give every value its ranks. No task holds more than a
+partition, however large a group is, and one algorithm serves all sizes.
 """
 
 from __future__ import annotations
@@ -12,122 +13,64 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .joins import join_null_safe
 
-MAX_GROUP_ROWS = 2_000_000
-_LOG_STEPS = 32
-_LINEAR_STEPS = 4096
 
+def quantiles(df: DataFrame, by: Sequence[str], col: str, probs: Mapping[str, float]) -> DataFrame:
+    """One row per group with a column per name in ``probs`` (linear interpolation, R type 7).
 
-def quantiles(
-    df: DataFrame,
-    by: Sequence[str],
-    col: str,
-    probs: Mapping[str, float],
-    max_group_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
-    """One row per group with a column per name in ``probs`` (linear interpolation, R type 7). NaN counts as missing."""
+    NaN counts as missing and infinities as the largest and smallest values; a group without a value has NULLs.
+    The sorted value counts are written when the plan is built.
+    """
     by = list(by)
+    keys = by or ["__all"]
     v = F.col(col).cast("double")
     base = df.select(*by, F.when(~F.isnan(v), v).alias("__v"))
-    if _largest_group(base, by) <= max_group_rows:
-        grouped = base.groupBy(*by) if by else base
-        # one percentile call per column set keeps a single value map per group
-        row = grouped.agg(F.percentile("__v", F.array(*[F.lit(float(p)) for p in probs.values()])).alias("__q"))
-        return row.select(*by, *[F.col("__q")[i].alias(n) for i, n in enumerate(probs)])
-    return _by_selection(base, by, probs)
-
-
-def median(df: DataFrame, by: Sequence[str], col: str, name: str = "median", **kw) -> DataFrame:
-    return quantiles(df, by, col, {name: 0.5}, **kw)
-
-
-def quantile_struct(df: DataFrame, col: str, probs: Mapping[str, float], **kw):
-    """Global quantiles as one struct-valued scalar subquery column."""
-    q = quantiles(df, [], col, probs, **kw)
-    return q.select(F.struct(*[F.col(n) for n in probs]).alias("q")).scalar()
-
-
-def _largest_group(df: DataFrame, by: Sequence[str]) -> int:
     if not by:
-        return df.count()
-    return df.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
-
-
-def _running(df: DataFrame, part: Sequence[str], order: str, count: str) -> DataFrame:
-    """Add the number of rows before (``__lo``) and up to (``__hi``) each bucket."""
-    w = Window.partitionBy(*part) if part else Window.partitionBy(F.lit(0))
-    w = w.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn("__hi", F.sum(count).over(w)).withColumn("__lo", F.col("__hi") - F.col(count))
-
-
-def _by_selection(base: DataFrame, by: list[str], probs: Mapping[str, float]) -> DataFrame:
-    spark = base.sparkSession
-    by_work = by or ["__all"]
-    rows = base if by else base.withColumn("__all", F.lit(1))
-    v = F.col("__v")
-    rows = rows.withColumn(
-        "__b1",
-        F.when(v == F.lit(float("inf")), F.lit(10**6))
-        .when(v == F.lit(float("-inf")), F.lit(-(10**6)))
-        .otherwise(F.floor(F.signum(v) * F.log1p(F.abs(v)) * _LOG_STEPS).cast("int")),
-    )
-
-    # slice 1: logarithmic buckets, a bounded number of rows per group
-    values = rows.filter(F.col("__v").isNotNull())
-    all_coarse = rows.groupBy(*by_work, "__b1").agg(
-        F.count("*").alias("__n"), F.min("__v").alias("__min"), F.max("__v").alias("__max")
+        base = base.withColumn("__all", F.lit(1))
+    counts = base.groupBy(*keys, "__v").agg(F.count("*").alias("__n"))
+    fixed = cut_lineage(counts.orderBy(*keys, "__v").withColumn("__p", F.spark_partition_id()))
+    values = fixed.filter(F.col("__v").isNotNull())
+
+    # one row per group and partition that holds it
+    parts = values.groupBy(*keys, "__p").agg(F.sum("__n").alias("__m"))
+    whole = Window.partitionBy(*keys)
+    before = whole.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(
+        *keys,
+        "__p",
+        F.coalesce(F.sum("__m").over(before), F.lit(0)).alias("__before"),
+        F.sum("__m").over(whole).alias("__total"),
     )
-    coarse = all_coarse.filter(F.col("__b1").isNotNull())
-    totals = coarse.groupBy(*by_work).agg(F.sum("__n").alias("__total"))
-    coarse = _running(coarse, by_work, "__b1", "__n")
-    wanted = []
-    for name, p in probs.items():
+    inside = Window.partitionBy(*keys, "__p").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = values.withColumn("__hi", F.sum("__n").over(inside))
+    ranked = join_null_safe(ranked, parts, [*keys, "__p"], "inner")
+    hi = F.col("__before") + F.col("__hi")
+    lo = hi - F.col("__n")
+
+    ends = []
+    for i, p in enumerate(probs.values()):
         h = (F.col("__total") - 1) * F.lit(float(p))
-        wanted.append(F.struct(F.lit(name).alias("name"), h.alias("h")))
-    ranks = totals.select(*by_work, F.explode(F.array(*wanted)).alias("w")).select(
-        *by_work,
-        F.col("w.name").alias("__name"),
-        F.col("w.h").alias("__h"),
-        F.explode(F.array_distinct(F.array(F.floor("w.h"), F.ceil("w.h")))).alias("__rank"),
-    )
-    hit = (F.col("__rank") >= F.col("__lo")) & (F.col("__rank") < F.col("__hi"))
-    in_coarse = join_null_safe(ranks, coarse, by_work, "inner").filter(hit)
-    in_coarse = in_coarse.withColumn("__r1", F.col("__rank") - F.col("__lo")).drop("__lo", "__hi", "__n")
+        for end, rank in (("a", F.floor(h)), ("z", F.ceil(h))):
+            ends.append(F.max(F.when((rank >= lo) & (rank < hi), F.col("__v"))).alias(f"__{end}{i}"))
+    found = ranked.groupBy(*keys).agg(F.max("__total").alias("__total"), *ends)
+    out = []
+    for i, (name, p) in enumerate(probs.items()):
+        h = (F.col("__total") - 1) * F.lit(float(p))
+        a, z = F.col(f"__a{i}"), F.col(f"__z{i}")
+        out.append(F.when(a == z, a).otherwise(a + (h - F.floor(h)) * (z - a)).alias(name))
+    found = found.select(*keys, *out)
+    # groups without a value still get a row
+    groups = fixed.select(*keys).distinct() if by else df.sparkSession.range(1).select(F.lit(1).alias("__all"))
+    return join_null_safe(groups, found, keys, "left").select(*by, *probs)
 
-    # slice 2: linear buckets inside the logarithmic bucket
-    open1 = in_coarse.select(*by_work, "__b1", "__min", "__max").distinct()
-    near = join_null_safe(values, open1, [*by_work, "__b1"], "inner")
-    width = F.col("__max") - F.col("__min")
-    near = near.withColumn(
-        "__b2",
-        F.when(width > 0, F.floor((F.col("__v") - F.col("__min")) / width * _LINEAR_STEPS).cast("int")).otherwise(0),
-    ).drop("__min", "__max")
-    fine = near.groupBy(*by_work, "__b1", "__b2").agg(F.count("*").alias("__n"))
-    fine = _running(fine, [*by_work, "__b1"], "__b2", "__n")
-    hit = (F.col("__r1") >= F.col("__lo")) & (F.col("__r1") < F.col("__hi"))
-    in_fine = join_null_safe(in_coarse, fine, [*by_work, "__b1"], "inner").filter(hit)
-    in_fine = in_fine.withColumn("__r2", F.col("__r1") - F.col("__lo")).drop("__lo", "__hi", "__n")
 
-    # rank the distinct values of that slice only
-    open2 = in_fine.select(*by_work, "__b1", "__b2").distinct()
-    last = join_null_safe(near, open2, [*by_work, "__b1", "__b2"], "left_semi")
-    last = last.groupBy(*by_work, "__b1", "__b2", "__v").agg(F.count("*").alias("__n"))
-    last = _running(last, [*by_work, "__b1", "__b2"], "__v", "__n")
-    hit = (F.col("__r2") >= F.col("__lo")) & (F.col("__r2") < F.col("__hi"))
-    found = join_null_safe(in_fine, last, [*by_work, "__b1", "__b2"], "inner").filter(hit)
+def median(df: DataFrame, by: Sequence[str], col: str, name: str = "median") -> DataFrame:
+    return quantiles(df, by, col, {name: 0.5})
 
-    frac = F.col("__h") - F.floor("__h")
-    pair = found.groupBy(*by_work, "__name").agg(
-        F.min("__v").alias("__a"), F.max("__v").alias("__z"), F.first(frac).alias("__f")
-    )
-    value = F.when(F.col("__f") == 0, F.col("__a")).otherwise(
-        F.col("__a") + F.col("__f") * (F.col("__z") - F.col("__a"))
-    )
-    wide = pair.groupBy(*by_work).agg(*[F.max(F.when(F.col("__name") == n, value)).alias(n) for n in probs])
-    if by:
-        # groups without a value still get a row
-        keys = all_coarse.select(*by).distinct()
-        return join_null_safe(keys, wide, by, "left").select(*by, *probs)
-    empty = spark.createDataFrame([(1,)], "__all int")
-    return empty.join(wide, "__all", "left").select(*probs)
+
+def quantile_struct(df: DataFrame, col: str, probs: Mapping[str, float]):
+    """Global quantiles as one struct-valued scalar subquery column."""
+    q = quantiles(df, [], col, probs)
+    return q.select(F.struct(*[F.col(n) for n in probs]).alias("q")).scalar()

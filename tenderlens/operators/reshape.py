@@ -57,12 +57,12 @@ def period_bins(
 
 
 def quantile_bucket(
-    df: DataFrame, col: str, probs: Sequence[float], labels: Sequence[str], name: str = "bucket", **kw
+    df: DataFrame, col: str, probs: Sequence[float], labels: Sequence[str], name: str = "bucket"
 ) -> DataFrame:
     """Label by quantile interval, right-closed, the lowest value included."""
     if len(labels) != len(probs) - 1:
         raise ValueError("need one label per interval")
-    q = quantile_struct(df, col, {f"q{i}": p for i, p in enumerate(probs)}, **kw)
+    q = quantile_struct(df, col, {f"q{i}": p for i, p in enumerate(probs)})
     v = F.col(col)
     out = F.when(v < q["q0"], F.lit(None).cast("string"))
     for i, label in enumerate(labels, 1):

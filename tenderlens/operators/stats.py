@@ -17,7 +17,7 @@ _POINTS = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p100": 1.0}
 _BARS = "▁▂▃▅▇"
 
 
-def profile(df: DataFrame, cols: Sequence[str], bars: int = 5, **kw) -> DataFrame:
+def profile(df: DataFrame, cols: Sequence[str], bars: int = 5) -> DataFrame:
     """Missing values, completeness, mean, sd, quartiles and a text histogram of numeric columns.
 
     ``hist`` has one bar for each of ``bars`` equal slices from the least to the largest value, its height relative to
@@ -32,7 +32,7 @@ def profile(df: DataFrame, cols: Sequence[str], bars: int = 5, **kw) -> DataFram
     )
     basic = basic.withColumn("complete_rate", 1 - F.col("n_missing") / F.col("n"))
     basic = basic.join(_bars(df, cols, bars), "column", "left")
-    return basic.join(quantiles(long, ["column"], "value", _POINTS, **kw), "column", "left")
+    return basic.join(quantiles(long, ["column"], "value", _POINTS), "column", "left")
 
 
 def _bars(df: DataFrame, cols: Sequence[str], bars: int) -> DataFrame:
@@ -102,7 +102,7 @@ def histogram(
     return binned.select(*by, "bin", (r["lo"] + F.col("bin") * width).alias("bin_start"), "n")
 
 
-def density(df: DataFrame, col: str, by: Sequence[str] = (), points: int = 128, log10: bool = False, **kw) -> DataFrame:
+def density(df: DataFrame, col: str, by: Sequence[str] = (), points: int = 128, log10: bool = False) -> DataFrame:
     """Gaussian kernel density on an even grid over the common range, per facet.
 
     Values are first spread linearly over their two neighbouring grid points, so what meets the
@@ -114,7 +114,7 @@ def density(df: DataFrame, col: str, by: Sequence[str] = (), points: int = 128,
     data = df.select(*by, v.alias("__v")).filter(F.col("__v").isNotNull())
     grouped = data.groupBy(*by) if by else data
     spread = grouped.agg(F.count("*").alias("__n"), F.stddev_samp("__v").alias("__sd"))
-    q = quantiles(data, by, "__v", {"__q1": 0.25, "__q3": 0.75}, **kw)
+    q = quantiles(data, by, "__v", {"__q1": 0.25, "__q3": 0.75})
     if by:
         scale = join_null_safe(spread, q, by, "inner")
     else:
@@ -150,10 +150,10 @@ def density(df: DataFrame, col: str, by: Sequence[str] = (), points: int = 128,
     return out.select(*by, "grid", (r["lo"] + F.col("grid") * step).alias("x"), "density")
 
 
-def box_stats(df: DataFrame, by: Sequence[str], col: str, **kw) -> DataFrame:
+def box_stats(df: DataFrame, by: Sequence[str], col: str) -> DataFrame:
     """Quartiles, whiskers at 1.5 IQR and number of points beyond them, per group."""
     by = list(by)
-    q = quantiles(df, by, col, {"q1": 0.25, "med": 0.5, "q3": 0.75}, **kw)
+    q = quantiles(df, by, col, {"q1": 0.25, "med": 0.5, "q3": 0.75})
     v, reach = F.col(col), 1.5 * (F.col("q3") - F.col("q1"))
     inside = (v >= F.col("q1") - reach) & (v <= F.col("q3") + reach)
     rows = join_null_safe(df.select(*by, col), q, by, "inner")

@@ -130,9 +130,9 @@ def value_anomalies(df: DataFrame, value: str, process: str, addition: str, **kw
     )
 
 
-def anomaly_by_decile(df: DataFrame, value: str, rules: Mapping[str, Column], **kw) -> DataFrame:
+def anomaly_by_decile(df: DataFrame, value: str, rules: Mapping[str, Column]) -> DataFrame:
     """Number and share of anomalies per value decile and rule."""
-    marked = quantile_bucket(df.withColumns(dict(rules)), value, DECILES, DECILE_LABELS, "decile", **kw)
+    marked = quantile_bucket(df.withColumns(dict(rules)), value, DECILES, DECILE_LABELS, "decile")
     grouped = marked.groupBy("decile").agg(
         *[F.count_if(F.col(r)).alias(f"n_{r}") for r in rules],
         *[share(F.col(r)).alias(f"p_{r}") for r in rules],
@@ -182,10 +182,10 @@ def correct_values(df: DataFrame, checked: DataFrame, low: float = 5e5, url: str
 
 
 def review_high_values(
-    df: DataFrame, value: str, process: str, addition: str, url: str, reviewed: DataFrame, p: float = 0.9, **kw
+    df: DataFrame, value: str, process: str, addition: str, url: str, reviewed: DataFrame, p: float = 0.9
 ) -> DataFrame:
     """Contracts from the p-quantile upwards that nobody has reviewed, with their rates."""
-    q = quantile_struct(df, value, {"cut": p}, **kw)
+    q = quantile_struct(df, value, {"cut": p})
     rest = keep_out(keep_out(df, reviewed, url), shared_urls(df, url), url)
     return value_anomalies(rest.filter(F.col(value) >= q["cut"]), value, process, addition)
 

@@ -95,25 +95,25 @@ def _enough(index: DataFrame, r: Roles) -> DataFrame:
     return index.filter((F.col("__n") >= r.min_contracts) & (F.col("n_counterparts") >= r.min_counterparts))
 
 
-def actor_indicators(df: DataFrame, r: Roles, **kw) -> DataFrame:
+def actor_indicators(df: DataFrame, r: Roles) -> DataFrame:
     """Profile, concentration and red flags of one kind of actor over the whole period.
 
     One (actor, counterpart) pre-aggregate supplies participation, HHI, top-k and all shares.
     Only the profile (median and further distinct counts) reads the contracts again.
     """
-    facts = actor_profile(df, [r.actor], r.value, dict(r.distincts), **kw)
+    facts = actor_profile(df, [r.actor], r.value, dict(r.distincts))
     both = combine([r.actor], red_flags(df, r), facts)
     # actors below the participation limits have a profile only
     return both.filter(F.col("n_counterparts").isNotNull())
 
 
-def buyer_indicators(df: DataFrame, r: Roles = BUYERS, **kw) -> DataFrame:
-    return actor_indicators(df, r, **kw)
+def buyer_indicators(df: DataFrame, r: Roles = BUYERS) -> DataFrame:
+    return actor_indicators(df, r)
 
 
-def supplier_indicators(df: DataFrame, r: Roles = SUPPLIERS, places: DataFrame | None = None, **kw) -> DataFrame:
+def supplier_indicators(df: DataFrame, r: Roles = SUPPLIERS, places: DataFrame | None = None) -> DataFrame:
     """Supplier indicators with active years and, given an activity table, number of places."""
-    out = actor_indicators(df, r, **kw)
+    out = actor_indicators(df, r)
     years = df.select(r.actor, F.year(r.signed).alias("__y")).distinct()
     more = [years.groupBy(r.actor).agg(F.count("*").alias("n_active_years"))]
     if places is not None:
@@ -144,7 +144,7 @@ def concentration(df: DataFrame, r: Roles, keep_counts: bool = False) -> DataFra
 _FLAGS = ("closed", "extended", "added")
 
 
-def period_table(df: DataFrame, r: Roles, width: int = 2, **kw) -> tuple[DataFrame, list[int]]:
+def period_table(df: DataFrame, r: Roles, width: int = 2) -> tuple[DataFrame, list[int]]:
     """Profile, winners rate and 0/1 occurrence flags per (actor, period), for all actors.
 
     The bins come from the years of the eligible actors; the eligibility test runs on the distinct
@@ -161,20 +161,20 @@ def period_table(df: DataFrame, r: Roles, width: int = 2, **kw) -> tuple[DataFra
     ]
     distincts = {**r.distincts, "n_counterparts": r.counterpart}
     flags = [F.max(c.cast("int")) for c in seen]
-    facts = actor_profile(df, keys, r.value, distincts, extra=flags, extra_names=_FLAGS, **kw)
+    facts = actor_profile(df, keys, r.value, distincts, extra=flags, extra_names=_FLAGS)
     return facts.withColumn("pnum_winners", S.pct(F.col("n_counterparts"), F.col("n_contracts"))), periods
 
 
 _MEASURES = ("n_contracts", "val_contracts", "val_mean", "val_median", "val_sd")
 
 
-def indicators_by_period(df: DataFrame, r: Roles, mode: str = "abs", width: int = 2, **kw) -> DataFrame:
+def indicators_by_period(df: DataFrame, r: Roles, mode: str = "abs", width: int = 2) -> DataFrame:
     """Wide table per actor: ``abs`` holds levels and occurrence, ``rel`` changes and persistence.
 
     Cells of absent periods are 0; whole-period concentration is attached to both. The ``rel``
     table drops actors without two consecutive periods.
     """
-    table, periods = period_table(df, r, width, **kw)
+    table, periods = period_table(df, r, width)
     measures = [*_MEASURES, *r.distincts, "n_counterparts"]
     if mode == "abs":
         named = table.withColumnsRenamed({f: f"b_{f}" for f in _FLAGS})
@@ -225,7 +225,7 @@ def composite_index(
 
 
 def consolidate_features(
-    df: DataFrame, middle: str = "median", merge_closed: bool = True, q: float = 0.9, **kw
+    df: DataFrame, middle: str = "median", merge_closed: bool = True, q: float = 0.9
 ) -> DataFrame:
     """One addition indicator with its band, and optionally one closed-procurement share.
 
@@ -235,7 +235,7 @@ def consolidate_features(
     """
     parts = ["pnum_extended", "pval_extended", "pnum_added", "pval_added"]
     out = cut_lineage(df.withColumn("additions", S.row_mean([F.col(c) for c in parts])))
-    cut = quantile_struct(out, "additions", {"mid": 0.5, "high": q}, **kw)
+    cut = quantile_struct(out, "additions", {"mid": 0.5, "high": q})
     low = cut["mid"] if middle == "median" else out.agg(F.avg("additions").alias("m")).scalar()
     out = out.withColumn("additions_band", S.band(F.col("additions"), [low, cut["high"]], BANDS, closed="right"))
     drop = list(parts)
