@@ -80,8 +80,10 @@ def notices(
     near = low.contains(markers[0])
     for m in markers[1:]:
         near = near | low.contains(m)
-    # One row per line that may match: its terms with counts, and its norm.
-    found = lines.where(near).withColumn("t", terms(F.col("line"))).where(F.size("t") > 0).select("path", "line_no", "t")
+    # A marker must be a term of the line, not only part of one; what is left are the few lines that may match.
+    whole = F.arrays_overlap("t", F.array(*map(F.lit, markers)))
+    found = lines.where(near).withColumn("t", terms(F.col("line"))).where(whole).select("path", "line_no", "t")
+    # Their terms with counts, and their norms.
     term = found.select("path", "line_no", F.explode("t").alias("term")).groupBy("path", "line_no", "term").agg(F.count("*").alias("tf"))
     weight = F.broadcast(spark.createDataFrame(sorted(idf.items()), "term string, idf double"))
     term = term.join(weight, "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(other)))
