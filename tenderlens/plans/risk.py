@@ -39,6 +39,8 @@ class Roles:
     min_contracts: int = 6
     min_counterparts: int = 5
     k: int = 4
+    #: attributes that come along with the actor, as its order level; of several values the smallest
+    carried: tuple = ()
     distincts: Mapping[str, str] = field(default_factory=lambda: {"n_families": "family", "n_groups": "grp"})
 
 
@@ -101,7 +103,8 @@ def actor_indicators(df: DataFrame, r: Roles) -> DataFrame:
     One (actor, counterpart) pre-aggregate supplies participation, HHI, top-k and all shares.
     Only the profile (median and further distinct counts) reads the contracts again.
     """
-    facts = actor_profile(df, [r.actor], r.value, dict(r.distincts))
+    extra = [F.min(c) for c in r.carried]
+    facts = actor_profile(df, [r.actor], r.value, dict(r.distincts), extra=extra, extra_names=r.carried)
     both = combine([r.actor], red_flags(df, r), facts)
     # actors below the participation limits have a profile only
     return both.filter(F.col("n_counterparts").isNotNull())
@@ -190,7 +193,10 @@ def indicators_by_period(df: DataFrame, r: Roles, mode: str = "abs", width: int
     else:
         raise ValueError("mode is 'abs' or 'rel'")
     filled = S.fill_non_finite(wide, 0, [c for c in wide.columns if c != r.actor])
-    both = combine([r.actor], filled.withColumn("__here", F.lit(1)), concentration(df, r))
+    parts = [filled.withColumn("__here", F.lit(1)), concentration(df, r)]
+    if r.carried:
+        parts.append(df.groupBy(r.actor).agg(*[F.min(c).alias(c) for c in r.carried]))
+    both = combine([r.actor], *parts)
     # keep actors that are eligible and have a row for this mode
     return both.filter(F.col("num_hhi").isNotNull() & F.col("__here").isNotNull()).drop("__here")
 

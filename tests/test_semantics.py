@@ -419,6 +419,11 @@ def test_relative_periods_with_a_null_actor_and_with_one_period(spark):
     data = [contract(a, o, y, 10.0 * (y - 2009)) for a in (None, 0) for o in range(6) for y in range(2010, 2014)]
     out = R.indicators_by_period(spark.createDataFrame(data, schema), R.BUYERS, "rel")
     assert sorted(r["buyer_id"] is None for r in out.collect()) == [False, True]
+    carried = R.Roles("buyer_id", "supplier_id", carried=("process_type",))
+    for mode in ("abs", "rel"):
+        wide = R.indicators_by_period(spark.createDataFrame(data, schema), carried, mode)
+        assert {r["process_type"] for r in wide.collect()} == {"x"}
+    assert {r["process_type"] for r in R.buyer_indicators(spark.createDataFrame(data, schema), carried).collect()} == {"x"}
     one = R.indicators_by_period(spark.createDataFrame([x for x in data if x[7].year == 2010], schema), R.BUYERS, "rel")
     assert not [c for c in one.columns if "_r_" in c] and one.count() == 0
 
