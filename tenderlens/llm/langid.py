@@ -106,5 +106,6 @@ def identify(
                     pred.append(langs[order[0]]), score.append(float(margin)), rejected.append(bool(margin <= min_margin))
                 extra = [pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())]
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], *extra], names)
+            pa.default_memory_pool().release_unused()  # the worker lives on: give freed batches back
 
     return kept.mapInArrow(run, f"{schema}, lang_pred string, score double, rejected boolean")

@@ -47,7 +47,7 @@ _SEEDS = _mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(_ODD)) | np.
 class Shingler:
     """Sets of shingle hashes, sorted. Word hashes are kept while there are fewer than ``keep`` of them."""
 
-    def __init__(self, size: int = 5, keep: int = 1 << 18):
+    def __init__(self, size: int = 5, keep: int = 1 << 16):
         self.size, self.keep, self.words = size, keep, {}
         self.powers = np.array([pow(_ODD, i, 1 << 64) for i in range(size + 1)], np.uint64)
 
@@ -198,6 +198,7 @@ def _sketch(size: int, rows_: int):
                 rows = [m if len(s) else None for m, s in zip(marks, sets)]
                 cols = [part.column(0), part.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(rows, pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(cols, ["row_id", "tag", "n_shingles", "set_key", "bands"])
+            pa.default_memory_pool().release_unused()  # the worker lives on: give freed batches back
 
     return run
 

@@ -50,8 +50,8 @@ class Encoder:
             if vocab[left + right] <= last:
                 raise ValueError("the merges of this vocabulary do not follow its ids")
             last = vocab[left + right]
-        self._full = tiktoken.Encoding("full", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
         self._simple = tiktoken.Encoding("simple", pat_str=SIMPLE_PATTERN, mergeable_ranks=ranks, special_tokens=special)
+        self._ranks, self._special = ranks, special
         words = {i: w for w, i in ranks.items()} | {i: w.encode() for w, i in special.items()}
         self.words = [words.get(i, b"") for i in range(max(words) + 1)]
         self.size = np.array([len(w) for w in self.words], np.int64)
@@ -59,6 +59,11 @@ class Encoder:
         self.blank_first = np.array([bool(w) and w[0] in blank for w in self.words])
         self.ink_last = np.array([bool(w) and w[-1] in ink for w in self.words])
 
+    @functools.cached_property
+    def _full(self) -> tiktoken.Encoding:
+        """Only workers that meet runs of white space hold this second table."""
+        return tiktoken.Encoding("full", pat_str=PATTERN, mergeable_ranks=self._ranks, special_tokens=self._special)
+
     def encode(self, text: str) -> np.ndarray:
         runs = any(r in text for r in _RUNS) or any(c in text for c in (ODD_BLANKS[:4] if text.isascii() else ODD_BLANKS))
         return (self._full if runs else self._simple).encode_to_numpy(text, allowed_special="all")
