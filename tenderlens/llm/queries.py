@@ -11,7 +11,7 @@ from . import langid
 from .bpe import bpe_decode, bpe_encode
 from .common import scratch_path, table
 from .exact_dedup import exact_dedup
-from .licences import scan
+from .licences import LEAST_COSINE, TEMPLATES, scan
 from .line_dedup import line_dedup
 from .minhash import near_duplicates
 from .pack import pack
@@ -75,7 +75,36 @@ def op4(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-@query("op5_licence_scan")
+_NOTICES = ", ".join(f"('{name}', {k}, '{x}')" for name, texts in TEMPLATES.items() for k, x in enumerate(texts))
+_TERMS = "unnest(list_filter(string_split_regex(lower({}), '[^a-z0-9]+'), lambda t: t <> ''))"
+
+
+@query(
+    "op5_licence_scan",
+    f"""
+WITH tpl(licence, k, notice) AS (VALUES {_NOTICES}),
+tt AS (SELECT licence, k, term, count(*) AS tf FROM (SELECT licence, k, {_TERMS.format('notice')} AS term FROM tpl) GROUP BY ALL),
+n AS (SELECT count(*) AS n FROM documents),
+df AS (SELECT term, count(*) AS df FROM (SELECT DISTINCT doc_id, term FROM (SELECT doc_id, {_TERMS.format('text')} AS term FROM documents))
+       WHERE term IN (SELECT term FROM tt) GROUP BY term),
+idf AS (SELECT term, ln((n + 1) / (coalesce(df, 0) + 1)) + 1 AS idf FROM (SELECT DISTINCT term FROM tt) LEFT JOIN df USING (term), n),
+tw AS (SELECT licence, k, term, tf * idf / sqrt(sum((tf * idf) ** 2) OVER (PARTITION BY licence, k)) AS w FROM tt JOIN idf USING (term)),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+             generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents WHERE text IS NOT NULL),
+lt AS (SELECT doc_id, line_no, term, count(*) AS tf FROM (SELECT doc_id, line_no, {_TERMS.format('line')} AS term FROM l) GROUP BY ALL),
+lw AS (SELECT doc_id, line_no, term, tf * coalesce(idf, ln(n + 1) + 1) AS w FROM lt LEFT JOIN idf USING (term), n),
+norm AS (SELECT doc_id, line_no, sqrt(sum(w * w)) AS norm FROM lw GROUP BY ALL),
+dots AS (SELECT doc_id, line_no, licence, k, sum(lw.w * tw.w) AS dot FROM lw JOIN tw USING (term) GROUP BY ALL),
+cos AS (SELECT doc_id, line_no, licence, round(dot / norm, 9) AS cosine FROM dots JOIN norm USING (doc_id, line_no)),
+own AS (SELECT * FROM cos WHERE cosine >= {LEAST_COSINE}
+        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, line_no, licence) = 1),
+f AS (SELECT doc_id, concat_ws('/', coalesce(source, 'none'), coalesce(lang, 'none'), CAST(doc_id // 1000 AS VARCHAR)) AS folder FROM documents),
+h AS (SELECT folder, licence FROM f JOIN own USING (doc_id) WHERE line_no = 0
+      QUALIFY row_number() OVER (PARTITION BY folder ORDER BY folder || '/' || doc_id) = 1)
+SELECT f.doc_id, f.folder || '/' || f.doc_id AS path, CAST(line_no AS INTEGER) AS line_no, own.licence AS licence, cosine,
+       h.licence AS inherited, h.folder AS inherited_from
+FROM f LEFT JOIN own USING (doc_id) LEFT JOIN h ON f.folder = h.folder""",
+)
 def op5(spark, sf_dir):
     """Documents as files ``source/lang/block/doc_id``; one that opens with a notice is its directory's licence file."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
