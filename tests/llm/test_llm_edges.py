@@ -174,6 +174,38 @@ def test_language_id(spark, docs, nothing):
     assert langid.identify(nothing, learnt).count() == 0 and langid.learn(nothing.withColumn("lang", F.lit("en")), "doc_id", "text", "lang") == {}
 
 
+def test_language_id_of_long_texts(spark, sf_dir):
+    """The length of a text neither narrows the margin nor lets the opening decide."""
+    import random
+
+    from corpus_pipeline import LEAST_MARGIN
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    dictionaries = langid.learn(docs, "doc_id", "text", "lang")
+    said = {lang: sorted({w for r in docs.where(F.col("lang") == lang).collect() for w in (r["text"] or "").split()}) for lang in ("de", "en")}
+
+    def prose(lang, chars):
+        pick, out, held = random.Random(7), [], 0
+        while held < chars:
+            out.append(pick.choice(said[lang]))
+            held += len(out[-1]) + 1
+        return " ".join(out)
+
+    texts = [(1, prose("en", 3_000_000)), (2, prose("de", 3_000_000)), (3, prose("de", 50_000) + " " + prose("en", 4_000_000))]
+    probe = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in langid.identify(probe, dictionaries, min_margin=LEAST_MARGIN).collect()}
+    assert {i: (r["lang_pred"], r["rejected"]) for i, r in got.items()} == {1: ("en", False), 2: ("de", False), 3: ("en", False)}
+    short = spark.createDataFrame([(1, texts[0][1][:100_000])], "doc_id long, text string")
+    assert got[1]["score"] > langid.identify(short, dictionaries).first()["score"] / 2
+
+
+def test_blocks_hold_the_whole_text():
+    raw = bytes(i % 251 for i in range(3 * langid.BLOCK_BYTES + 1))
+    for n in (0, 1, langid.BLOCK_BYTES, langid.BLOCK_BYTES + 1, len(raw)):
+        blocks = langid._blocks(raw[:n])
+        assert b"".join(blocks) == raw[:n] and max(map(len, blocks)) <= langid.BLOCK_BYTES and len(blocks) == max(1, -(-n // langid.BLOCK_BYTES))
+
+
 def test_bpe_round_trip(docs, nothing):
     from tokenizers import Tokenizer
 
