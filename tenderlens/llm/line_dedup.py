@@ -127,8 +127,9 @@ def line_dedup(
         lost = mine.join(repeats, "hash").where("row_id > first").select("row_id", "tag", "pos")
         dropped = lost if dropped is None else dropped.unionByName(lost)
 
-    # A document's positions are at most its own lines, so this list is bounded by a row of the input.
-    holes = dropped.groupBy("row_id", "tag").agg(F.sort_array(F.collect_list("pos")).alias("_holes"))
+    # A document's positions are at most its own lines, so this set is bounded by a row of the input, however many rows
+    # of one id and text bring the same positions.
+    holes = dropped.groupBy("row_id", "tag").agg(F.sort_array(F.collect_set("pos")).alias("_holes"))
     outs = ["n_lines", "n_dropped", text_out]
     carried = docs.select(*[c for c in docs.columns if c not in outs or c in (id_col, text_col)])
     carried = carried.withColumns({"_row": rid, "_tag": tag})

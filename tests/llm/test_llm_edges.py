@@ -90,6 +90,14 @@ def test_line_dedup(spark, docs, nothing):
     assert line_dedup(nothing).count() == 0
 
 
+def test_line_dedup_of_repeated_rows(spark):
+    rows = [(1, "common line here\nsecond common line"), *[(2, "common line here\nown line of two\nsecond common line\nlast own line")] * 3, (2, "second common line\nx")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for batches in (1, 3):
+        got = sorted((r["doc_id"], r["n_lines"], r["n_dropped"], r["kept_text"]) for r in line_dedup(df, batches=batches).collect())
+        assert got == [(1, 2, 0, rows[0][1]), (2, 2, 1, "x"), *[(2, 4, 2, "own line of two\nlast own line")] * 3]
+
+
 def test_runs_are_compacted(spark):
     store = LineRuns(spark, buckets=4, fanout=2)
     for k in range(5):
