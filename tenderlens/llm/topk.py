@@ -71,10 +71,13 @@ def top_k(
     base = table.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull() & whole)
     base = base.select(F.col(id_col).cast("long").alias("id"), floor.alias("v"))
     queries = base.where(F.col("id") % every == 0).distinct()
-    # Of equal vectors only the k + 1 smallest ids can be among any query's k best. The limit is applied in each task
-    # before the shuffle, so a vector held by a third of the rows is a few rows per task.
+    # Of equal vectors only the k + 1 smallest ids, with at most k rows of each, can be among any query's k best, as one of
+    # the ids may be the query's. Rows are counted and ids limited in each task before a shuffle, so a vector held by a
+    # third of the rows is a few rows per task.
     same = Window.partitionBy("v").orderBy("id")
-    data = base.withColumn("_n", F.row_number().over(same)).where(F.col("_n") <= k + 1).drop("_n")
+    held = base.groupBy("v", "id").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("_rows"))
+    held = held.withColumn("_n", F.row_number().over(same)).where(F.col("_n") <= k + 1)
+    data = held.select(F.explode(F.array_repeat("id", F.col("_rows"))).alias("id"), "v")
     both = step(data.withColumn("query", F.lit(False)).unionByName(queries.withColumn("query", F.lit(True))), "vectors")
     square = F.aggregate("v", F.lit(0.0), lambda a, y: a + y.cast("double") * y)
     shape = both.agg(F.max(F.size("v")).alias("w"), F.max(F.when(~F.col("query"), square)).alias("m"), F.count("*").alias("n")).first()
@@ -105,14 +108,16 @@ def top_k(
 
     placed = both.mapInArrow(assign, "query boolean, cell int, distance double")
     radius = {r["cell"]: r["r"] for r in placed.where("query").groupBy("cell").agg(F.max("distance").alias("r")).collect()}
+    # Most data rows under one query id: so many of the rows near a query may be its own.
+    mine = both.where(~F.col("query") & (F.col("id") % every == 0)).groupBy("id").agg(F.count("*").alias("c")).agg(F.max("c")).first()[0] or 0
     nearest = Window.partitionBy("cell").orderBy("distance")
-    near = placed.where("not query").withColumn("_n", F.row_number().over(nearest)).where(F.col("_n") <= k + 1)
-    summary = near.select("cell", "distance").collect()  # at most pivots * (k + 1) rows
+    near = placed.where("not query").withColumn("_n", F.row_number().over(nearest)).where(F.col("_n") <= k + min(mine, k))
+    summary = near.select("cell", "distance").collect()  # at most 2 * pivots * k rows; fewer than are near only widen the bound
     between = _distances(centre, centre)
     reach = np.full(len(centre), -1.0)
     for cell, r in radius.items():
         upper = sorted(r + between[cell, s["cell"]] + s["distance"] for s in summary)
-        bound = upper[k] if len(upper) > k else np.inf  # k others and, perhaps, the query's own row
+        bound = upper[k - 1 + mine] if len(upper) >= k + mine else np.inf  # k others and, perhaps, the query's own rows
         reach[cell] = (bound + r) * (1 + 1e-9) + 1e-3
     n_blocks = max(1, -(-int(shape["n"]) // DATA_BLOCK))
 

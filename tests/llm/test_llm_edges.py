@@ -334,6 +334,24 @@ def test_top_k_against_brute_force(spark):
     assert len(few) == 2 and top_k(df.limit(0)).count() == 0
 
 
+def test_top_k_of_repeated_queries(spark):
+    """A query row that stands there twice, or under several vectors, has all its true neighbours."""
+    rng = np.random.default_rng(4)
+    hot = [3.0, 1.0, 2.0, -1.0]
+    rows = [(i, hot if i % 3 == 0 else rng.normal(size=4).round(1).tolist()) for i in range(301)]
+    rows += [(0, hot)] + [(3, hot)] * 2 + [(100, hot)] * 3 + [(200, rng.normal(size=4).round(2).tolist()) for _ in range(15)]
+    own = [(i, tuple(np.floor(1024 * np.array(v)).astype(int).tolist())) for i, v in rows]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for pivots in (2, 16):
+        want = set()
+        for q in (0, 100, 200, 300):
+            asked = {v for i, v in own if i == q}
+            best = sorted((-int(np.dot(v, x)), i) for v in asked for i, x in own if i != q)[:10]
+            want |= {(q, n, i, -s) for n, (s, i) in enumerate(best, 1)}
+        got = [tuple(r) for r in top_k(df, pivots=pivots).collect()]
+        assert set(got) == want and len(got) == len(want)
+
+
 def test_archive_round_trip(spark, tmp_path):
     big = "<p>" + "\u00e9" * 600 + "</p>"
     pages = [(1, "http://a/1", big), (2, "http://a/2", big), (9, "http://a/\r\nX: y", big), (3, None, None), (4, "", ""), (5, "u", "same"), (6, "u", "same"), (7, "u", "z" * 100_000), (None, "u", big)]
