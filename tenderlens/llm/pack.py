@@ -45,8 +45,32 @@ def price(duals: np.ndarray, sizes: np.ndarray, room: int) -> tuple[float, np.nd
     return float(best[room]), pattern
 
 
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Matrix by vector without BLAS, whose threads may be lost once the JVM has been started."""
+    return (a * b).sum(1)
+
+
+def _inverse(a: np.ndarray) -> np.ndarray:
+    """Gauss-Jordan with row pivots by elementwise numpy, for the reason above; not finite if ``a`` is singular."""
+    m = len(a)
+    both = np.hstack([a.astype(float), np.eye(m)])
+    with np.errstate(all="ignore"):
+        for c in range(m):
+            r = c + int(np.abs(both[c:, c]).argmax())
+            both[[c, r]] = both[[r, c]]
+            both[c] /= both[c, c]
+            factor = both[:, c].copy()
+            factor[c] = 0
+            both -= factor[:, None] * both[c]
+    return both[:, m:]
+
+
 def solve(counts: dict[int, int], room: int, gap: float = 1e-3) -> list[tuple[int, dict[int, int]]]:
-    """Patterns (times, {size: pieces}) that use up ``counts`` (size -> pieces) exactly; sizes and room in units."""
+    """Patterns (times, {size: pieces}) that use up ``counts`` (size -> pieces) exactly; sizes and room in units.
+
+    The linear program ends within ``gap`` of its optimum, or early after 50 columns per size: that, too, leaves a whole
+    solution, with more padding.
+    """
     sizes = np.array(sorted(counts), np.int64)
     need = np.array([counts[s] for s in sizes.tolist()], float)
     m = len(sizes)
@@ -56,31 +80,38 @@ def solve(counts: dict[int, int], room: int, gap: float = 1e-3) -> list[tuple[in
     inverse = np.diag(1 / np.diag(basis))
     # Slightly uneven demand while pivoting: without ties no pivot is in vain.
     shaken = need * (1 + 1e-3 * np.modf(np.arange(1, m + 1) * 0.6180339887498949)[0])
-    x = inverse @ shaken
+    x = _times(inverse, shaken)
     turn = 0
     while True:
         value, pattern = price(inverse.sum(0), sizes, room)
         # x.sum() / value bounds the optimum from below: stop within half a sequence or a thousandth of it.
-        if value <= 1 + max(0.5 / max(x.sum(), 1), gap) or turn == 50 * m:  # any stop leaves a whole, feasible solution
+        if value <= 1 + max(0.5 / max(x.sum(), 1), gap) or turn == 50 * m:
+            break
+        step_ = _times(inverse, pattern)
+        if step_.max() <= 1e-10:
             break
         turn += 1
-        step_ = inverse @ pattern
         ratio = np.where(step_ > 1e-10, x / np.where(step_ > 1e-10, step_, 1), np.inf)
         r = int(ratio.argmin())
         basis[:, r] = pattern
         if turn % 50:
             row = inverse[r] / step_[r]
-            inverse -= np.outer(step_, row)
+            inverse -= step_[:, None] * row
             inverse[r] = row
         else:
-            inverse = np.linalg.inv(basis)
-        x = np.maximum(inverse @ shaken, 0)
-    times = np.floor(np.maximum(inverse @ need, 0) + 1e-6).astype(np.int64)
-    left = need.astype(np.int64) - basis.astype(np.int64) @ times
-    while (left < 0).any():  # rounding up by the tolerance took too much: give a pattern back
-        r = int(np.flatnonzero((basis[int(left.argmin())] > 0) & (times > 0))[0])
-        times[r] -= 1
-        left += basis[:, r].astype(np.int64)
+            inverse = _inverse(basis)
+            off = max(np.abs(_times(basis, inverse[:, c]) - (np.arange(m) == c)).max() for c in range(m))
+            if not off <= 1e-6:  # too close to singular to go on: what is found is repaired below
+                inverse = np.nan_to_num(inverse, nan=0.0, posinf=0.0, neginf=0.0)
+                break
+        x = np.maximum(_times(inverse, shaken), 0)
+    times = np.floor(np.clip(_times(inverse, need), 0, need.max()) + 1e-6).astype(np.int64)
+    whole = basis.astype(np.int64)
+    over = np.maximum((whole * times).sum(1) - need.astype(np.int64), 0)
+    # Rounding took too much of some classes: each pattern with such a class gives back what alone makes up for it.
+    back = np.where((whole > 0) & (over > 0)[:, None], -(-over[:, None] // np.maximum(whole, 1)), 0).max(0)
+    times = np.maximum(times - back, 0)
+    left = need.astype(np.int64) - (whole * times).sum(1)
     out = [(int(t), {int(s): int(a) for s, a in zip(sizes, basis[:, r]) if a}) for r, t in enumerate(times) if t]
     rest = Counter({int(s): int(n) for s, n in zip(sizes, left) if n})
     while rest:  # largest first; each turn uses up a size or most of it, so turns are bounded by the sizes
