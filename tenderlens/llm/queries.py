@@ -15,6 +15,7 @@ from .licences import LEAST_COSINE, TEMPLATES, scan
 from .line_dedup import line_dedup
 from .minhash import near_duplicates
 from .pack import pack
+from .ranked_search import ranked_search
 from .topk import top_k
 from .url_filter import url_filter
 from .warc import parse_records, read_records, write_archive
@@ -177,3 +178,25 @@ def op10(spark, sf_dir):
     write_archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
     out = parse_records(read_records(spark, path))
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+_RANK_TERMS = r"unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"
+
+
+@query(
+    "op11_ranked_search",
+    f"""
+WITH t AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, {_RANK_TERMS} AS term FROM documents) GROUP BY ALL),
+d AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM t GROUP BY doc_id),
+c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM d),
+m AS (SELECT doc_id, 10 + (90 * n * docs) // terms AS m FROM d, c),
+i AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, {_RANK_TERMS} AS term FROM benchmark)),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+      FROM (SELECT term, count(*) AS df FROM t GROUP BY term), c),
+s AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+      FROM i JOIN t USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS n FROM s WHERE score > 0)
+SELECT item_id, CAST(n AS INTEGER) AS rank, doc_id, score FROM r WHERE n <= 10""",
+)
+def op11(spark, sf_dir):
+    return ranked_search(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
