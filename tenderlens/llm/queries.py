@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from . import langid
 from .bpe import bpe_decode, bpe_encode
 from .common import scratch_path, table
+from .divergence import divergence_audit
 from .exact_dedup import exact_dedup
 from .licences import LEAST_COSINE, TEMPLATES, scan
 from .line_dedup import line_dedup
 from .minhash import near_duplicates
 from .pack import pack
 from .ranked_search import ranked_search
+from .records import read_token_index, read_token_records, write_token_records
 from .topk import top_k
 from .url_filter import url_filter
 from .warc import parse_records, read_records, write_archive
@@ -200,3 +202,40 @@ SELECT item_id, CAST(n AS INTEGER) AS rank, doc_id, score FROM r WHERE n <= 10""
 )
 def op11(spark, sf_dir):
     return ranked_search(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+_SHARE = "1 + CAST(CAST({} + 5 AS HUGEINT) * 1000000000 // ({} + 5 * v) AS BIGINT)"
+_LETTERS = _RANK_TERMS.replace(r"\x00-\x2F\x3A-\x40", r"\x00-\x40")
+
+
+@query(
+    "op12_divergence_audit",
+    f"""
+WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+t AS (SELECT k, lang, source, term, count(*) AS tf FROM (SELECT k, lang, source, {_LETTERS} AS term FROM d) GROUP BY ALL),
+kept AS (SELECT lang, term, CAST(sum(tf) AS BIGINT) AS lc FROM t GROUP BY ALL HAVING count(*) >= 30),
+lv AS (SELECT lang, count(*) AS v, CAST(sum(lc) AS BIGINT) AS ln FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, CAST(sum(tf) AS BIGINT) AS c FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+n AS (SELECT lang, source, CAST(sum(c) AS BIGINT) AS n FROM c GROUP BY ALL),
+p AS (SELECT g.lang, g.source, kept.term, coalesce(c, 0) AS c, {_SHARE.format('coalesce(c, 0)', 'coalesce(n, 0)')} AS p, {_SHARE.format('lc', 'ln')} AS q
+      FROM g JOIN kept USING (lang) JOIN lv USING (lang) LEFT JOIN n USING (lang, source) LEFT JOIN c USING (lang, source, term)),
+f AS (SELECT a.lang, a.source, b.source AS item, CAST(sum(abs(a.p - b.p)) AS BIGINT) AS f
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE c > 0 AND p > q),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM o WHERE part = 'pair' OR rank <= 50""",
+)
+def op12(spark, sf_dir):
+    return divergence_audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+@query("op13_token_records")
+def op13(spark, sf_dir):
+    path = scratch_path(spark, "records")
+    write_token_records(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    out = read_token_records(read_token_index(spark, path), path)
+    n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
+    return out.select("doc_id", "start", n_tokens, F.crc32("ids").alias("ids_crc32"))
