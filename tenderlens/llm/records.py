@@ -1,8 +1,8 @@
 """Token ids in length-delimited binary records, with an offset index apart.
 
 A data file is a row of frames: the length of the content as 8 bytes, the masked CRC-32C of those, the content, its masked
-CRC-32C; all numbers little-endian. The content of a document's frame is its ids as unsigned 32-bit integers. Documents
-are in ascending order of their ids across and within the files. The index is a Parquet table with a row per frame, so a
+CRC-32C; all numbers little-endian. The content of a document's frame is one byte, the width of an id, and its ids as
+unsigned integers of that width: 2 bytes if the vocabulary allows, else 4. Documents are in ascending order of their ids across and within the files. The index is a Parquet table with a row per frame, so a
 reader can fetch any documents in any order, or cut a file into ranges.
 
 Files are written by the tasks straight below the archive's folder under names of their own. Only files that the index
@@ -108,6 +108,14 @@ def contents(raw: list[bytes], where: str) -> list[bytes]:
     return out
 
 
+def serialized(ids: np.ndarray, width: int) -> bytes:
+    return bytes([width]) + ids.astype(f"<u{width}").tobytes()
+
+
+def ids_of(content: bytes) -> np.ndarray:
+    return np.frombuffer(content, f"<u{content[0]}", offset=1).astype("<u4")
+
+
 def split(data: bytes) -> Iterator[bytes]:
     """The frames of a whole file, without its index."""
     at = 0
@@ -142,15 +150,16 @@ def write_token_records(
         enc = encoder(tokenizer)
         store, folder = _store(path)
         name, offset, start, sink = f"{uuid.uuid4().hex}.records", 0, 0, None
+        width = 2 if max(len(enc.size) - 1, end_id) < 1 << 16 else 4
         for b in batches:
             for lo in range(0, b.num_rows, 500):
                 part = b.slice(lo, 500)
                 if sink is None:
                     store.create_dir(f"{folder}/data", recursive=True)
                     sink = store.open_output_stream(f"{folder}/data/{name}")
-                raw = frames([np.append(enc.encode(t.as_py() or ""), end_id).astype("<u4").tobytes() for t in part.column(1)])
+                raw = frames([serialized(np.append(enc.encode(t.as_py() or ""), end_id), width) for t in part.column(1)])
                 sizes = np.array([len(f) for f in raw], np.int64)
-                tokens = (sizes - HEAD - TAIL) // 4
+                tokens = (sizes - HEAD - TAIL - 1) // width
                 for f in raw:
                     sink.write(f)
                 ends, starts = offset + np.cumsum(sizes), start + np.cumsum(tokens)
@@ -178,8 +187,9 @@ def read_token_index(spark: SparkSession, path: str, id_col: str = "doc_id") ->
 
 
 def read_token_records(wanted: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
-    """The records that rows of the index name, in the order of ``wanted`` within its partitions: id, ``start``, ``ids`` (binary).
+    """The records that rows of the index name, in the order of ``wanted`` within its partitions: id, ``start``, ``ids``.
 
+    ``ids`` are unsigned 32-bit integers, little-endian, in one binary, whatever their width in the file.
     Neighbours in a file are fetched together. Lengths and checksums are held against the frames; a broken one is an error.
     """
 
@@ -201,6 +211,7 @@ def read_token_records(wanted: DataFrame, path: str, id_col: str = "doc_id") ->
                 data = sources[names[at]].read_at(int(stop - offsets[at]), int(offsets[at]))
                 cuts = (offsets[at:end] - offsets[at]).tolist()
                 found = contents([data[c : c + s] for c, s in zip(cuts, sizes[at:end].tolist())], names[at])
+                found = [ids_of(c).tobytes() for c in found]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, end - at), b.column(1).slice(at, end - at), pa.array(found, pa.binary())], [id_col, "start", "ids"])
                 at = end
         for s in sources.values():

@@ -191,7 +191,10 @@ def test_token_records(spark, tmp_path):
     # the files alone, without the index
     files = glob.glob(f"{tmp_path}/a/data/*.records")
     alone = [c for f in files for c in records.contents(list(records.split(open(f, "rb").read())), f)]
-    assert sorted(alone) == sorted(b for _, b in want)
+    assert sorted(records.ids_of(c).tobytes() for c in alone) == sorted(b for _, b in want)
+    assert {c[0] for c in alone} == {2}
+    wide = np.array([5, 1 << 20], np.uint32)
+    assert records.ids_of(records.serialized(wide, 4)).tolist() == wide.tolist()
 
 
 def test_broken_records_are_found(spark, tmp_path):
