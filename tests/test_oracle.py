@@ -8,7 +8,7 @@ from oracle import compare, duck
 import __spark_entry__ as entry
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
-SLOW = {"M3_random_forest_cv", "M4_gradient_boosting_cv", "M5_select_and_refit"}
+
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +21,7 @@ def test_matches_sql(spark, sf_dir, con, key):
     assert compare(QUERIES[key](spark, sf_dir), con, ORACLES[key]) is None
 
 
-@pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLES) - SLOW))
+@pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLES)))
 def test_runs(spark, sf_dir, key):
     assert QUERIES[key](spark, sf_dir).count() > 0
 
