@@ -53,11 +53,12 @@ def s3(spark, d):
     "GROUP BY l_orderkey",
 )
 def s4(spark, d):
-    first = IO.stage(table(spark, d, "lineitem"), "snapshot_1")
-    second = first.groupBy("l_orderkey").agg(
-        F.count("*").alias("n"), F.round(F.sum("l_extendedprice"), 2).alias("total")
-    )
-    return IO.stage(second, "snapshot_2")
+    """Two steps that read the current version of one dataset by name and replace it."""
+    data = IO.Snapshots(spark, scratch_path(spark, "snapshots"), "lineitem")
+    data.write(table(spark, d, "lineitem"))
+    total = F.round(F.sum("l_extendedprice"), 2).alias("total")
+    data.write(data.read().groupBy("l_orderkey").agg(F.count("*").alias("n"), total))
+    return data.read()
 
 
 @query(

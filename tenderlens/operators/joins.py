@@ -79,7 +79,7 @@ def map_values(df: DataFrame, col: str, mapping: Mapping, target: str | None = N
     kind = dict(df.dtypes)[col]
     rows = [(k, v) for k, v in mapping.items()]
     names = spark.createDataFrame(rows, f"`{col}` {kind}, __mapped string")
-    joined = df.join(F.broadcast(names), col, "left")
+    joined = df.join(names, col, "left")
     target = target or col
     order = df.columns if target in df.columns else [*df.columns, target]
     return joined.withColumn(target, F.col("__mapped")).select(*order)
@@ -90,7 +90,7 @@ def override(df: DataFrame, keys: Sequence[Column], target: str, fixes: Mapping[
     kind = dict(df.dtypes)[target]
     table = df.sparkSession.createDataFrame([(k, str(v)) for k, v in fixes.items()], "__key string, __value string")
     keyed = df.withColumn("__key", F.concat(*[F.coalesce(k.cast("string"), F.lit("NA")) for k in keys]))
-    joined = keyed.join(F.broadcast(table), "__key", "left")
+    joined = keyed.join(table, "__key", "left")
     return joined.withColumn(target, F.coalesce(F.col("__value").cast(kind), F.col(target))).select(*df.columns)
 
 

@@ -154,41 +154,32 @@ def enrich_suppliers(
 def hierarchy_paths(edges: DataFrame, parent: str, node: str, label: str) -> DataFrame:
     """Node, root, depth and path of every node below the roots of an edge list.
 
-    One equality join per level, from the roots down; the levels stop when no child is left. A node that comes up
-    again below itself ends its branch with an error.
+    Pointer doubling: every node starts with the stretch of itself alone, and in each round a stretch is put below the
+    stretches of the node above it, so a chain of n levels takes log2(n) rounds of one equality join. A node with several
+    parents has a row per path; one whose ancestors end without a root has none. A cycle is an error.
     """
     e = edges.select(
-        F.nullif(F.col(parent).cast("string"), F.lit("")).alias("__p"),
+        F.nullif(F.col(parent).cast("string"), F.lit("")).alias("__up"),
         F.col(node).cast("string").alias("node"),
         F.col(label).cast("string").alias("label"),
     )
-    level = e.filter(F.col("__p").isNull()).select(
-        "node",
-        F.col("node").alias("root"),
-        F.lit(0).alias("depth"),
-        F.col("label").alias("path"),
-        F.array("node").alias("__seen"),
-    )
-    out = level
-    depth = 0
+    now = cut_lineage(e.select("node", "__up", F.col("label").alias("path"), F.array("node").alias("__nodes"), F.lit(False).alias("__again")))
     while True:
-        depth += 1
-        above = level.select(F.col("node").alias("__p"), "root", F.col("path").alias("__path"), "__seen")
-        cyclic = F.array_contains("__seen", F.col("node"))
-        level = e.filter(F.col("__p").isNotNull()).join(above, "__p", "inner").select(
-            "node",
-            "root",
-            F.lit(depth).alias("depth"),
-            F.concat_ws(" > ", "__path", "label").alias("path"),
-            F.array_append("__seen", F.col("node")).alias("__seen"),
-            cyclic.alias("__again"),
-        )
-        # each level feeds the next one and the result
-        level = cut_lineage(level)
-        n, again = level.agg(F.count("*"), F.max("__again")).first()
+        # no row yet knows more than what the next round reads: one written table per round
+        open_, again = now.agg(F.count("__up"), F.max("__again")).first()
         if again:
             raise ValueError("the hierarchy is cyclic")
-        if not n:
-            return out.drop("__seen")
-        level = level.drop("__again")
-        out = out.unionByName(level)
+        if not open_:
+            break
+        above = now.select(
+            F.col("node").alias("__at"), F.col("__up").alias("__next"), F.col("path").alias("__path"), F.col("__nodes").alias("__before")
+        )
+        longer = now.where("__up is not null").join(above, F.col("__up") == F.col("__at")).select(
+            "node",
+            F.col("__next").alias("__up"),
+            F.concat_ws(" > ", "__path", "path").alias("path"),
+            F.concat("__before", "__nodes").alias("__nodes"),
+            F.arrays_overlap("__before", "__nodes").alias("__again"),
+        )
+        now = cut_lineage(now.where("__up is null").unionByName(longer))
+    return now.select("node", F.col("__nodes")[0].alias("root"), (F.size("__nodes") - 1).alias("depth"), "path")

@@ -62,8 +62,14 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in _scopes.pop():
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            store, target = file_system(spark, path)
+            store.delete(target, True)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path for it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
