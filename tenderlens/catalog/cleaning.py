@@ -8,6 +8,7 @@ from ..functions import scalar as S
 from ..plans import identity as I
 from ..plans import places as P
 from ..plans import quality as Q
+from ..session import cut_lineage
 from ..sources.contracts import contracts, table
 from ..sources.raw_contracts import raw_contracts, raw_sql
 from .base import C, query, rounded
@@ -303,9 +304,7 @@ b AS (SELECT k.department, k.place, CASE k.dk || k.pk WHEN 'OSMALLRING' THEN 999
 _FIXES = {"OSMALLRING": 999, "PROMOBLUERING": 998}
 
 
-def _allocated(spark, d):
-    raw = raw_contracts(spark, d, ["municipio_ejecucion", "valor_total_con_adiciones", "id_contratista"])
-    return P.explode_places(raw, "municipio_ejecucion", "valor_total_con_adiciones")
+_LISTS = "municipio_ejecucion"
 
 
 def _codes(spark, d, places):
@@ -316,7 +315,7 @@ def _codes(spark, d, places):
 
 @query("D8_resolve_places", f"WITH {_PLACES} SELECT * FROM b")
 def d8(spark, d):
-    return _codes(spark, d, _allocated(spark, d))
+    return _codes(spark, d, P.place_list(raw_contracts(spark, d, [_LISTS]), _LISTS))
 
 
 @query(
@@ -326,10 +325,15 @@ ON y.department IS NOT DISTINCT FROM b.department AND y.place = b.place GROUP BY
 SELECT id_contratista, place_code, round(v / sum(v) OVER (PARTITION BY id_contratista), 9) AS p FROM t""",
 )
 def d9(spark, d):
-    rows = _allocated(spark, d)
-    coded = P.attach_place_code(rows, "department", "place", _codes(spark, d, rows))
-    out = P.activity_shares(coded, "id_contratista", "place_code", "valor_total_con_adiciones")
-    return rounded(out, p=9)
+    actor, value = "id_contratista", "valor_total_con_adiciones"
+    # equal parts of a sum are sums of equal parts: contracts are added up before their lists are taken apart
+    totals = raw_contracts(spark, d, [_LISTS, value, actor]).groupBy(actor, _LISTS).agg(F.sum(value).alias(value))
+    totals = cut_lineage(totals)
+    listed = cut_lineage(P.place_list(totals, _LISTS))
+    coded = P.attach_place_code(listed, "department", "place", _codes(spark, d, listed))
+    parts = coded.groupBy(_LISTS, "place_code").agg((F.count("*") / F.max("n_listed")).alias("part"))
+    rows = totals.join(parts, _LISTS).withColumn(value, F.col(value) * F.col("part"))
+    return rounded(P.activity_shares(rows, actor, "place_code", value), p=9)
 
 
 # ---------------------------------------------------------------- scorecard

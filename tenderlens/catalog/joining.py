@@ -111,6 +111,25 @@ def j8(spark, d):
     return rounded(found.select("x", "y", "dist"), dist=9)
 
 
+_WORDS = r"SELECT DISTINCT unnest(string_split_regex(lower(text), '[^a-z]+')) AS "
+
+
+@query(
+    "J8_fuzzy_words",
+    f"""WITH a AS ({_WORDS} x FROM benchmark), b AS ({_WORDS} y FROM documents)
+SELECT x, y, round(1 - jaro_similarity(x, y), 9) AS dist FROM a, b WHERE x <> '' AND y <> '' AND 1 - jaro_similarity(x, y) <= 0.10""",
+)
+def j8_words(spark, d):
+    """Spellings near the benchmark's words among all words of the documents: tens of thousands of distinct texts."""
+
+    def words(name, c):
+        df = table(spark, d, name).select(F.explode(F.split(F.lower("text"), r"[^a-z]+")).alias(c))
+        return df.where(F.col(c) != "").distinct()
+
+    found = fuzzy_join(words("benchmark", "x"), words("documents", "y"), [("x", "y")], 0.10, "inner", "dist")
+    return rounded(found.select("x", "y", "dist"), dist=9)
+
+
 _J9 = """WITH a AS (SELECT DISTINCT p_type || p_type AS dx, replace(p_name, 'i', 'ee') AS px FROM part),
 b AS (SELECT p_type || p_type AS dy, p_name AS py, CAST(min(p_partkey) AS BIGINT) AS code FROM part GROUP BY 1, 2),
 m AS (SELECT dx, px, dy, py, code, 1 - jaro_similarity(px, py) AS d1, 1 - jaro_similarity(dx, dy) AS d2 FROM a, b

@@ -90,3 +90,36 @@ def _jaro_udf(left: pd.Series, right: pd.Series) -> pd.Series:
 def jaro_distance(left, right):
     """Jaro distance column, NULL when either text is NULL."""
     return _jaro_udf(left, right)
+
+
+def _bound(left: pd.Series, right: pd.Series) -> np.ndarray:
+    """Largest similarity that the texts' character counts allow: counts in 64 classes of code points never fall short of
+    the characters that can match."""
+    counts = []
+    for texts in (left, right):
+        lengths = texts.str.len().to_numpy(dtype=np.int64)
+        codes = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32) & 63
+        row = np.repeat(np.arange(len(texts)), lengths)
+        counts.append((lengths, np.bincount(row * 64 + codes, minlength=64 * len(texts)).reshape(-1, 64)))
+    (n, a), (k, b) = counts
+    m = np.minimum(a, b).sum(1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        out = np.where(m > 0, (m / n + m / k + 1) / 3, 0.0)
+    return np.where((n == 0) & (k == 0), 1.0, out)
+
+
+def jaro_within(left, right, max_dist: float):
+    """Jaro distance column; NULL when it is surely above ``max_dist`` or a text is NULL."""
+
+    @F.pandas_udf(T.DoubleType())
+    def within(a: pd.Series, b: pd.Series) -> pd.Series:
+        out = pd.Series(np.full(len(a), np.nan))
+        whole = np.flatnonzero((a.notna() & b.notna()).to_numpy())
+        if len(whole):
+            a, b = a.iloc[whole], b.iloc[whole]
+            near = _bound(a, b) >= 1 - max_dist - 1e-9
+            if near.any():
+                out.iloc[whole[near]] = jaro_distances(a[near].reset_index(drop=True), b[near].reset_index(drop=True)).to_numpy()
+        return out.where(out.notna(), None)
+
+    return within(left, right)

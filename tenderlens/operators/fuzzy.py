@@ -1,91 +1,134 @@
 """Fuzzy joins on the Jaro distance without comparing every pair.
 
 If two texts of lengths n and l have distance <= d, then with s = 1 - d they share at least
-o = ceil((3s - 1) * n * l / (n + l)) characters (as a multiset), and neither is shorter than
-(3s - 2) times the other. So, with the characters of both in one fixed order, the first n - o + k
-of one and the first l - o + k of the other have k characters in common (the prefix-filter
-principle for set-similarity joins). Candidates therefore come from an equality join on
-(n, l, two characters), rare characters first as counted over the texts, and no partner is lost.
-A pair is kept at its first two common characters only, and then tested for o shared characters
-before its distance is computed. Only distinct texts take part.
+o = (3s - 1) * n * l / (n + l) characters (as a multiset), and neither is shorter than (3s - 2) times the other. Put
+the characters of both in one order, rare ones first. Of the characters they share, take the first T + 1: they form T
+neighbouring pairs. At most (n - o) / g of those have g or more foreign characters between them in the one text, and
+(l - o) / g in the other. So with T above the sum of both, one pair stands at most g places apart in both texts, within the first
+T + 1 + n - o characters of the one and T + 1 + l - o of the other. Candidates come from an equality join on such pairs.
+
+Lengths fall into classes, each a quarter wider than the one before, and a text gives its pairs once per class that its
+partners can be in: about g keys per character and class, linear in its length. T and g are chosen per pair of classes;
+where texts share too few characters for it (very short ones, or very unequal ones), the key is a single character. No
+partner is lost. Candidates are made distinct, and a bound by character counts goes before the distance.
 """
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.jaro import jaro_distance
+from ..functions.jaro import jaro_within
 from ..session import cut_lineage
 from .joins import join_null_safe
 
 _EPS = 1e-9
+#: Buckets in which characters are counted, so that the counts are a small table whatever the alphabet; places apart at most.
+_BUCKETS, _MOST_APART = 4096, 6
 
 
 def _numbered(text: Column) -> Column:
-    """Characters numbered by occurrence: sets of them intersect as the multisets of characters do."""
+    """Characters numbered by occurrence and hashed: sets of them intersect as the multisets of characters do."""
     # the one-element array binds the sorted characters once per text
     bound = F.transform(
         F.array(F.sort_array(F.split(text, ""))),
-        lambda chars: F.transform(chars, lambda c, i: F.concat(c, (i - F.array_position(chars, c).cast("int") + 1).cast("string"))),
+        lambda chars: F.transform(chars, lambda c, i: F.xxhash64(c, i - F.array_position(chars, c).cast("int") + 1)),
     )
     return bound[0]
 
 
-def _shared_needed(n: Column, other: Column, s: float) -> Column:
-    return F.ceil((3 * s - 1) * n * other / (n + other) - _EPS)
-
-
-def _ordered(texts: DataFrame, text: str, counts: DataFrame, name: str) -> DataFrame:
-    """Each text with its numbered characters (hashed), rare ones first."""
-    each = texts.filter(F.length(text) > 0).select(text, F.explode(F.transform(_numbered(F.col(text)), lambda c: F.xxhash64(c))).alias("__c"))
-    pairs = each.join(counts, "__c").groupBy(text).agg(F.sort_array(F.collect_list(F.struct("__f", "__c"))).alias("__a"))
-    return pairs.select(text, F.transform("__a", lambda x: x["__c"]).alias(name))
-
-
-def _blocks(texts: DataFrame, text: str, toks: str, lengths: DataFrame, s: float, own: str, other: str) -> DataFrame:
-    """One row per admissible partner length and two prefix characters (one, if only one need be shared)."""
-    ratio = 3 * s - 2
-    n = F.col(own)
-    df = texts.withColumn(own, F.size(toks))
-    low, high = F.greatest(F.ceil(n * ratio - _EPS).cast("int"), F.lit(1)), F.floor(n / ratio + _EPS).cast("int")
-    df = df.withColumn(other, F.explode(F.sequence(low, high))).join(lengths.withColumnRenamed("__len", other), other, "left_semi")
-    need = _shared_needed(F.col(own), F.col(other), s)
-    k = F.least(need, F.lit(2))
-    df = df.withColumn("__k", k.cast("int")).withColumn(toks, F.slice(toks, F.lit(1), (n - need + k).cast("int")))
-    single = F.transform(toks, lambda t: F.struct(t.alias("a"), F.lit(0).cast("long").alias("b")))
-    double = F.flatten(
-        F.transform(
-            toks,
-            lambda t, i: F.transform(
-                F.slice(toks, i + 2, F.greatest(F.size(toks) - i - 1, F.lit(0))), lambda u: F.struct(t.alias("a"), u.alias("b"))
-            ),
-        )
-    )
-    key = F.explode(F.when(F.col("__k") == 1, single).otherwise(double))
-    return df.select(text, toks, own, other, "__k", key.alias("__key")).select(text, toks, own, other, "__k", "__key.a", "__key.b")
+def _bucket(token: Column) -> Column:
+    return F.pmod(token, F.lit(_BUCKETS)).cast("int")
+
+
+def _class(n: Column) -> Column:
+    """Length class: single lengths up to 8, then each a quarter wider than the one before; 0 is the empty text."""
+    return F.when(n <= 8, n).otherwise((8 + F.floor(F.log(n / 8.0) / math.log(1.25) + _EPS)).cast("int"))
+
+
+def _plan(mine: dict[int, tuple[int, int]], theirs: dict[int, tuple[int, int]], s: float) -> list[tuple]:
+    """(class, partner class, partner's least length, g, T) for all pairs of classes (class -> least and most length) that can
+    hold partners; g = 0 stands for single characters."""
+    c, r = 3 * s - 1, 3 * s - 2
+    out = []
+    for a, (a0, a1) in mine.items():
+        for b, (b0, b1) in theirs.items():
+            if a1 < r * b0 - _EPS or b1 < r * a0 - _EPS:
+                continue
+            n0, l0 = max(a0, math.ceil(r * b0 - _EPS)), max(b0, math.ceil(r * a0 - _EPS))
+            n1, l1 = min(a1, math.floor(b1 / r + _EPS)), min(b1, math.floor(a1 / r + _EPS))
+            share = math.ceil(c * n0 * l0 / (n0 + l0) - _EPS)
+            # characters that need not be shared: largest for the longest text and its shortest partner
+            miss = [
+                math.floor(x - c * x * y / (x + y) + _EPS) for x, y in ((n1, max(b0, r * n1)), (l1, max(a0, r * l1)))
+            ]
+            ways = [(g, miss[0] // g + miss[1] // g + 1) for g in range(1, _MOST_APART + 1)]
+            ways = [(g * (t + 1 + sum(miss)), g, t) for g, t in ways if t + 1 <= share]
+            _, g, t = min(ways, default=(0, 0, 0))
+            out.append((a, b, b0, g, t))
+    return out
+
+
+def _keys(texts: DataFrame, text: str, plan: list[tuple], s: float, left: bool) -> DataFrame:
+    """A row per text and key. ``texts`` has the text, its ordered characters and its class."""
+    c, r = 3 * s - 1, 3 * s - 2
+    df = texts.join(texts.sparkSession.createDataFrame(plan, "__class int, __other int, __low int, __g int, __t int"), "__class")
+    n = F.size("__chars")
+    low = F.greatest(F.col("__low"), F.ceil(n * r - _EPS).cast("int"))
+    miss = n - F.greatest(F.ceil(c * n * low / (n + low) - _EPS).cast("int"), F.lit(1))
+    length = F.least(n, F.when(F.col("__g") == 0, miss + 1).otherwise(F.col("__t") + 1 + miss))
+    df = df.withColumn("__first", F.slice("__chars", F.lit(1), F.greatest(length, F.lit(0))))
+    pair = F.struct("__class", "__other") if left else F.struct("__other", "__class")
+    size = F.size("__first")
+
+    def apart(g):
+        m = F.greatest(size - g, F.lit(0))
+        return F.zip_with(F.slice("__first", F.lit(1), m), F.slice("__first", g + 1, m), lambda a, b: F.xxhash64(pair, a, b))
+
+    pairs = F.flatten(F.transform(F.sequence(F.lit(1), F.greatest("__g", F.lit(1))), apart))
+    single = F.transform("__first", lambda a: F.xxhash64(pair, a))
+    return df.select(text, F.explode(F.array_distinct(F.when(F.col("__g") == 0, single).otherwise(pairs))).alias("__key"))
 
 
 def similar_texts(left: DataFrame, x: str, right: DataFrame, y: str, max_dist: float, name: str) -> DataFrame:
-    """All pairs of distinct non-NULL texts with Jaro distance at most ``max_dist``."""
+    """All pairs of distinct non-NULL texts with Jaro distance at most ``max_dist``; two empty texts are at distance 0.
+
+    Counts of characters and the range of lengths per class, both small whatever the texts, are gathered when the plan is
+    built; hand over written tables if the texts are costly.
+    """
     if not 0 <= max_dist < 1 / 3:
         raise ValueError("max_dist must be at least 0 and below 1/3")
     s = 1 - max_dist
-    lt = left.select(x).filter(F.col(x).isNotNull()).distinct()
-    rt = right.select(y).filter(F.col(y).isNotNull()).distinct()
-    chars = [t.select(F.explode(F.transform(_numbered(F.col(c)), lambda t: F.xxhash64(t))).alias("__c")) for t, c in ((lt, x), (rt, y))]
-    counts = chars[0].unionByName(chars[1]).groupBy("__c").agg(F.count("*").alias("__f"))
-    left_len, right_len = (t.select(F.length(c).alias("__len")).distinct() for t, c in ((lt, x), (rt, y)))
-    a = _blocks(_ordered(lt, x, counts, "__p"), x, "__p", right_len, s, "__n", "__l")
-    b = _blocks(_ordered(rt, y, counts, "__q"), y, "__q", left_len, s, "__l", "__n").drop("__k")
-    pairs = a.join(b, ["__n", "__l", "a", "b"], "inner")
-    common = F.array_intersect("__p", "__q")
-    first = (common[0] == F.col("a")) & ((F.col("__k") == 1) | (F.get(common, F.lit(1)) == F.col("b")))
-    shared = F.size(F.array_intersect(_numbered(F.col(x)), _numbered(F.col(y))))
-    pairs = pairs.filter(first).filter(shared >= _shared_needed(F.col("__n"), F.col("__l"), s)).select(x, y)
-    near = pairs.withColumn(name, jaro_distance(F.col(x), F.col(y))).filter(F.col(name) <= max_dist)
+    lt, rt = (t.select(c).filter(F.col(c).isNotNull()).distinct() for t, c in ((left, x), (right, y)))
+    both = lt.select(F.col(x).alias("t"), F.lit(0).alias("side")).unionByName(rt.select(F.col(y).alias("t"), F.lit(1).alias("side")))
+    both = both.where("t <> ''").select("side", _class(F.length("t")).alias("cls"), F.length("t").alias("n"), _numbered(F.col("t")).alias("chars"))
+    # one pass: a row per bucket of characters, and per side and class of lengths
+    cells = F.concat(
+        F.transform("chars", lambda c: F.struct(F.lit(-1).alias("side"), _bucket(c).alias("k"), F.lit(0).alias("n"))),
+        F.array(F.struct("side", F.col("cls").alias("k"), "n")),
+    )
+    told = both.select(F.explode(cells).alias("c")).groupBy("c.side", "c.k").agg(F.count("*").alias("f"), F.min("c.n").alias("lo"), F.max("c.n").alias("hi"))
+    counts, spans = [0] * _BUCKETS, ({}, {})
+    for r in told.collect():  # at most _BUCKETS rows, and a few per doubling of the longest text
+        if r["side"] < 0:
+            counts[r["k"]] = r["f"]
+        else:
+            spans[r["side"]][r["k"]] = (r["lo"], r["hi"])
+    often = F.from_json(F.lit(json.dumps(counts)), "array<bigint>")
+    order = F.array_sort(F.transform("__chars", lambda c: F.struct(F.get(often, _bucket(c)).alias("f"), c.alias("c"))))
+
+    def side(texts, c, mine, theirs, is_left):
+        texts = texts.where(F.col(c) != "").select(c, _class(F.length(c)).alias("__class"), _numbered(F.col(c)).alias("__chars"))
+        texts = texts.withColumn("__chars", F.transform(order, lambda v: v["c"]))
+        return _keys(texts, c, _plan(mine, theirs, s), s, is_left)
+
+    a, b = side(lt, x, *spans, True), side(rt, y, *spans[::-1], False)
+    pairs = a.join(b, "__key").select(x, y).distinct()
+    near = pairs.withColumn(name, jaro_within(F.col(x), F.col(y), max_dist)).filter(F.col(name) <= max_dist)
     # two empty texts are equal
     empty = lt.filter(F.col(x) == "").join(rt.filter(F.col(y) == ""), F.col(x) == F.col(y), "inner")
     return near.unionByName(empty.withColumn(name, F.lit(0.0)))
@@ -110,14 +153,50 @@ def fuzzy_join(
     xs, ys = [x for x, _ in on], [y for _, y in on]
     # the distinct keys are read several times below and are far fewer than the rows behind them
     lk, rk = cut_lineage(left.select(*xs).distinct()), cut_lineage(right.select(*ys).distinct())
-    dists = [f"{name}_{i}" for i in range(1, len(on) + 1)]
-    found = lk.join(similar_texts(lk, xs[0], rk, ys[0], max_dist, dists[0]), xs[0], "inner").join(rk, ys[0], "inner")
-    for x, y, d in zip(xs[1:], ys[1:], dists[1:]):
-        found = found.join(similar_texts(lk, x, rk, y, max_dist, d), [x, y], "inner")
-    mean = F.col(dists[0])
-    for d in dists[1:]:
-        mean = mean + F.col(d)
-    found = found.withColumn(name, mean / len(dists))
+    found = _found(lk, rk, on, max_dist, name)
     matched = join_null_safe(found, right, ys, "inner")
     out = join_null_safe(left, matched, xs, how)
-    return out.select(*left.columns, *right.columns, *dists, name)
+    return out.select(*left.columns, *right.columns, *_distances(on, name), name)
+
+
+def _distances(on: Sequence[tuple[str, str]], name: str) -> list[str]:
+    return [f"{name}_{i}" for i in range(1, len(on) + 1)]
+
+
+def _mean(df: DataFrame, dists: Sequence[str], name: str) -> DataFrame:
+    total = F.col(dists[0])
+    for d in dists[1:]:
+        total = total + F.col(d)
+    return df.withColumn(name, total / len(dists))
+
+
+def _found(lk: DataFrame, rk: DataFrame, on: Sequence[tuple[str, str]], max_dist: float, name: str) -> DataFrame:
+    """Pairs of keys within the distance: candidates by the first pair of columns, the others tested on them."""
+    (x, y), dists = on[0], _distances(on, name)
+    found = lk.join(similar_texts(lk, x, rk, y, max_dist, dists[0]), x, "inner").join(rk, y, "inner")
+    for (x, y), d in zip(on[1:], dists[1:]):
+        # few texts come up in many pairs: each two are compared once
+        near = found.select(x, y).distinct().withColumn(d, jaro_within(F.col(x), F.col(y), max_dist))
+        found = found.join(near.filter(F.col(d) <= max_dist), [x, y], "inner")
+    return _mean(found, dists, name)
+
+
+def nearest_join(
+    left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], max_dist: float, tie: str, name: str = "distance"
+) -> DataFrame:
+    """Each left row with its nearest right row within ``max_dist`` in every pair of ``on``, by mean distance, then by the
+    smallest ``tie``; unmatched rows have NULLs.
+
+    The radius widens from 0: rows whose texts are equal to some right row's are matched by equality, and only the rest are
+    searched around. Right columns but ``tie`` are dropped.
+    """
+    xs, ys = [x for x, _ in on], [y for _, y in on]
+    lk = cut_lineage(left.select(*xs).distinct())
+    rk = cut_lineage(right.groupBy(*ys).agg(F.min(tie).alias(tie)))
+    whole = [F.col(x) == F.col(y) for x, y in on]
+    equal = cut_lineage(lk.join(rk, whole, "inner").select(*xs, tie, F.lit(0.0).alias(name)))
+    rest = join_null_safe(lk, equal, xs, "left_anti")
+    found = _found(rest, rk.select(*ys), on, max_dist, name).join(rk, ys)
+    best = found.groupBy(*xs).agg(F.min_by(F.struct(tie, name), F.struct(F.round(name, 12), tie)).alias("__b"))
+    best = best.select(*xs, f"__b.{tie}", f"__b.{name}").unionByName(equal)
+    return join_null_safe(left, best, xs, "left").select(*left.columns, tie, name)

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
-from ..operators.fuzzy import fuzzy_join
-from ..operators.joins import best_match, join_null_safe, override
+from ..operators.fuzzy import nearest_join
+from ..operators.joins import join_null_safe, override
 from ..operators.windows import share_of_total
 from ..session import cut_lineage
 
@@ -63,7 +63,7 @@ def resolve_places(
     """One row per distinct (department, place) of ``df`` with its gazetteer code or NULL.
 
     Both keys must be within the tolerance; the smallest mean distance wins, then the smallest
-    code. Matching runs on distinct places only.
+    code. Matching runs on distinct places only, and only those without an equal one in the gazetteer are searched around.
     """
     seen = cut_lineage(df.select(dept, place).distinct()).withColumns(
         {"__dk": S.place_key(F.col(dept)), "__pk": S.place_key(F.col(place))}
@@ -71,8 +71,7 @@ def resolve_places(
     known = gazetteer.select(
         S.place_key(F.col(g_dept)).alias("__gd"), S.place_key(F.col(g_place)).alias("__gp"), F.col(g_code).alias(code)
     ).distinct()
-    found = fuzzy_join(seen, known, [("__pk", "__gp"), ("__dk", "__gd")], max_dist, "left")
-    best = best_match(found, [dept, place, "__dk", "__pk"], "distance", tie=[code])
+    best = nearest_join(seen, known, [("__pk", "__gp"), ("__dk", "__gd")], max_dist, tie=code)
     if overrides:
         best = override(best, [F.col("__dk"), F.col("__pk")], code, overrides)
     return best.select(dept, place, code)
@@ -83,16 +82,21 @@ def attach_place_code(df: DataFrame, dept: str, place: str, codes: DataFrame) ->
     return join_null_safe(df, codes, [dept, place], "left")
 
 
-def explode_places(df: DataFrame, places: str, value: str, sep: str = ";") -> DataFrame:
-    """One row per named place with an equal part of the contract value.
+def place_list(df: DataFrame, places: str, sep: str = ";") -> DataFrame:
+    """Each distinct list of places taken apart: the list, its number of places, and a row per place named in it.
 
-    The number of places is taken from the split list, so no row id and no regrouping is needed.
+    Contracts share few lists, so patterns are applied to lists and not to contracts.
     """
+    texts = df.select(places).where(F.col(places).isNotNull()).distinct()
     listed = F.filter(F.split(F.col(places), sep, -1), lambda x: x != "")
-    out = df.withColumn("__list", listed).withColumn(value, F.col(value) / F.size("__list"))
-    out = out.withColumn("__raw", F.explode("__list"))
+    out = texts.withColumn("__list", listed).withColumn("n_listed", F.size("__list")).withColumn("__raw", F.explode("__list"))
     dept, place = S.split_place(S.cut_before_note(F.col("__raw")))
-    return out.withColumns({"department": dept, "place": place}).drop("__list", "__raw")
+    return out.select(places, "n_listed", dept.alias("department"), place.alias("place"))
+
+
+def explode_places(df: DataFrame, places: str, value: str, sep: str = ";") -> DataFrame:
+    """One row per named place with an equal part of the contract value."""
+    return df.join(place_list(df, places, sep), places).withColumn(value, F.col(value) / F.col("n_listed")).drop("n_listed")
 
 
 def activity_shares(allocated: DataFrame, actor: str, place: str, value: str) -> DataFrame:
