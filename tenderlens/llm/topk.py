@@ -1,14 +1,16 @@
 """Exact top-k by inner product: a Voronoi kNN join.
 
-Pivots split queries and data into cells. Data vectors get one more coordinate that gives all the same length, which
-turns the largest inner product into the smallest Euclidean distance. From summaries of the cells (radius of the
-queries; the k nearest distances of the data to their pivot) each query cell gets a bound on its queries' k-th
-distance, and a data vector is sent only to the query cells it can be near enough to. There the search is solved
-locally, in blocks of bounded size, and the blocks' best are merged.
+Pivots, about as many as the root of the data, split the data into cells; a summary of each holds its radius and its
+longest vector. A query's k-th score among a bounded sample of the data is a true lower bound. No vector x of a cell with
+pivot p and radius r scores above <q, p> + |q| r, nor above |q| times the cell's longest vector, so a query goes only to
+the cells whose bound reaches its own. Data vectors travel once, to a block of their cell, whatever is pruned (again only
+if more queries need the cell than a task can hold). There the search is solved locally, and the blocks' best are merged.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -16,8 +18,8 @@ from pyspark.sql import functions as F
 
 from .common import step
 
-#: Rows of a block of data, and queries of a block, that a task holds at once.
-DATA_BLOCK, QUERY_BLOCK = 8192, 1024
+#: Rows of a block of data, queries of a block and of a group that a task holds at once, and rows of the sample.
+DATA_BLOCK, QUERY_BLOCK, QUERY_GROUP, SAMPLE = 8192, 1024, 32768, 2048
 
 
 def _rows(column, width: int) -> np.ndarray:
@@ -36,11 +38,6 @@ def _distances(points: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(square, 0))
 
 
-def _lifted(v: np.ndarray, longest: float) -> np.ndarray:
-    v = v.astype(float)
-    return np.hstack([v, np.sqrt(np.maximum(longest - (v**2).sum(1), 0))[:, None]])
-
-
 def _best(query_ids, queries, ids, data, k: int):
     """Per query its k best (query, id, score): exact integers, ties to the smaller id, never the query's own row."""
     largest = float(np.sqrt((queries.astype(float) ** 2).sum(1).max() * (data.astype(float) ** 2).sum(1).max()))
@@ -55,8 +52,24 @@ def _best(query_ids, queries, ids, data, k: int):
         yield from ((q, int(ids[j]), int(row[j])) for j in at)
 
 
+def bounds(q: np.ndarray, pivots: np.ndarray, radius: np.ndarray, longest: np.ndarray) -> np.ndarray:
+    """Per query and cell, a score that no vector of the cell exceeds. Cells without vectors have a negative radius."""
+    norm = np.sqrt((q**2).sum(1))[:, None]
+    upper = np.minimum(q @ pivots.T + norm * radius, norm * longest)
+    return np.where(radius >= 0, upper + np.abs(upper) * 1e-9 + 1, -np.inf)
+
+
+def _least(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, sample: np.ndarray, k: int) -> np.ndarray:
+    """Per query its k-th best score among the sample's rows of other ids; minus infinity if there are fewer."""
+    if len(ids) < k:
+        return np.full(len(q), -np.inf)
+    scores = np.where(q_ids[:, None] == ids[None, :], -np.inf, q @ sample.T)
+    least = np.partition(scores, len(ids) - k, 1)[:, len(ids) - k]
+    return least - np.abs(least) * 1e-9 - 1
+
+
 def top_k(
-    table: DataFrame, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 1024, every: int = 100, pivots: int = 16
+    table: DataFrame, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 1024, every: int = 100, pivots: int | None = None
 ) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id``, ``score`` for each row whose id is divisible by ``every``.
 
@@ -65,80 +78,83 @@ def top_k(
     vectors count as filled up with zeros. Repeated rows are candidates each; a query id with several vectors gets
     the best of all their pairs. An empty table gives no rows.
     """
+    asked, cells = deal(table, k, id_col, vec_col, scale, every, pivots)
+    if asked is None:
+        return table.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    local = asked.unionByName(cells).groupBy("cell", "block", "part").applyInArrow(_solver(k), "query_id long, vec_id long, score long")
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    merged = local.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return merged.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+
+
+def deal(table: DataFrame, k: int, id_col: str, vec_col: str, scale: int, every: int, pivots: int | None) -> tuple[DataFrame | None, DataFrame | None]:
+    """Queries and data by (cell, block of the cell's data, part of the cell's queries); None without data."""
     x = F.col(vec_col).cast("array<double>")
     whole = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     floor = F.transform(x, lambda v: F.floor(v * scale))
     base = table.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull() & whole)
     base = base.select(F.col(id_col).cast("long").alias("id"), floor.alias("v"))
-    queries = base.where(F.col("id") % every == 0).distinct()
+    queries = step(base.where(F.col("id") % every == 0).distinct(), "queries")
     # Of equal vectors only the k + 1 smallest ids, with at most k rows of each, can be among any query's k best, as one of
     # the ids may be the query's. Rows are counted and ids limited in each task before a shuffle, so a vector held by a
     # third of the rows is a few rows per task.
     same = Window.partitionBy("v").orderBy("id")
     held = base.groupBy("v", "id").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("_rows"))
     held = held.withColumn("_n", F.row_number().over(same)).where(F.col("_n") <= k + 1)
-    data = held.select(F.explode(F.array_repeat("id", F.col("_rows"))).alias("id"), "v")
-    both = step(data.withColumn("query", F.lit(False)).unionByName(queries.withColumn("query", F.lit(True))), "vectors")
-    square = F.aggregate("v", F.lit(0.0), lambda a, y: a + y.cast("double") * y)
-    shape = both.agg(F.max(F.size("v")).alias("w"), F.max(F.when(~F.col("query"), square)).alias("m"), F.count("*").alias("n")).first()
-    result = "query_id long, rank int, vec_id long, score long"
+    data = step(held.select(F.explode(F.array_repeat("id", F.col("_rows"))).alias("id"), "v"), "vectors")
+    shape = data.agg(F.max(F.size("v")).alias("w"), F.count("*").alias("n")).first()
     if not shape["n"] or not shape["w"]:
-        return table.sparkSession.createDataFrame([], result)
-    width, longest = int(shape["w"]), float(shape["m"])
-    chosen = both.where("not query").orderBy(F.xxhash64("id"), "id").limit(pivots).select("v").collect()  # pivots rows
-    centre = np.zeros((len(chosen), width), np.int64)
-    for i, r in enumerate(chosen):
-        centre[i, : len(r["v"])] = r["v"]
-    centre = _lifted(centre, longest)
-
-    def lift(b, query):
-        v = _rows(b.column("v"), width)
-        p = _lifted(v, longest)
-        p[query, -1] = 0
-        return v, p
+        return None, None
+    width, n = int(shape["w"]), int(shape["n"])
+    pivots = pivots or max(16, math.isqrt(n) // 2)
+    rows = data.orderBy(F.xxhash64("id"), "id").limit(max(SAMPLE, pivots)).collect()  # SAMPLE rows, or half the root of all
+    sample_ids, sample = np.array([r["id"] for r in rows], np.int64), np.zeros((len(rows), width))
+    for i, r in enumerate(rows):
+        sample[i, : len(r["v"])] = r["v"]
+    centre = np.unique(sample[:pivots], axis=0)
 
     def assign(batches):
         for b in batches:
-            query = b.column("query").to_numpy(zero_copy_only=False).astype(bool)
-            _, p = lift(b, query)
-            d = _distances(p, centre)
-            cell = d.argmin(1)
-            cols = [pa.array(query), pa.array(cell, pa.int32()), pa.array(d[np.arange(len(d)), cell])]
-            yield pa.RecordBatch.from_arrays(cols, ["query", "cell", "distance"])
-
-    placed = both.mapInArrow(assign, "query boolean, cell int, distance double")
-    radius = {r["cell"]: r["r"] for r in placed.where("query").groupBy("cell").agg(F.max("distance").alias("r")).collect()}
-    # Most data rows under one query id: so many of the rows near a query may be its own.
-    mine = both.where(~F.col("query") & (F.col("id") % every == 0)).groupBy("id").agg(F.count("*").alias("c")).agg(F.max("c")).first()[0] or 0
-    nearest = Window.partitionBy("cell").orderBy("distance")
-    near = placed.where("not query").withColumn("_n", F.row_number().over(nearest)).where(F.col("_n") <= k + min(mine, k))
-    summary = near.select("cell", "distance").collect()  # at most 2 * pivots * k rows; fewer than are near only widen the bound
-    between = _distances(centre, centre)
-    reach = np.full(len(centre), -1.0)
-    for cell, r in radius.items():
-        upper = sorted(r + between[cell, s["cell"]] + s["distance"] for s in summary)
-        bound = upper[k - 1 + mine] if len(upper) >= k + mine else np.inf  # k others and, perhaps, the query's own rows
-        reach[cell] = (bound + r) * (1 + 1e-9) + 1e-3
-    n_blocks = max(1, -(-int(shape["n"]) // DATA_BLOCK))
-
-    def deal(batches):
-        """Queries to their cell, data to each cell whose reach holds them; both by block."""
+            for lo in range(0, b.num_rows, 1024):
+                part = b.slice(lo, 1024)
+                v = _rows(part.column("v"), width).astype(float)
+                d = _distances(v, centre)
+                cell = d.argmin(1)
+                cols = [pa.array(cell, pa.int32()), pa.array(d[np.arange(len(d)), cell]), pa.array(np.sqrt((v**2).sum(1)))]
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("v"), *cols], ["id", "v", "cell", "distance", "norm"])
+
+    placed = step(data.mapInArrow(assign, "id long, v array<long>, cell int, distance double, norm double"), "cells")
+    radius, longest, sizes = np.full(len(centre), -1.0), np.zeros(len(centre)), {}
+    told = placed.groupBy("cell").agg(F.max("distance").alias("r"), F.max("norm").alias("m"), F.count("*").alias("n"))
+    for r in told.collect():  # a row per cell
+        # rounding of the squared distances is far below a unit
+        radius[r["cell"]], longest[r["cell"]], sizes[r["cell"]] = r["r"] * (1 + 1e-9) + 1, r["m"] * (1 + 1e-9), r["n"]
+
+    def ask(batches):
         for b in batches:
-            query = b.column("query").to_numpy(zero_copy_only=False).astype(bool)
-            _, p = lift(b, query)
-            d = _distances(p, centre)
-            row, cell = np.nonzero(np.where(query[:, None], d.argmin(1)[:, None] == np.arange(len(centre)), d <= reach))
-            take = pa.array(row)
-            cols = [b.column("id").take(take), b.column("v").take(take), b.column("query").take(take), pa.array(cell, pa.int32())]
-            yield pa.RecordBatch.from_arrays(cols, ["id", "v", "query", "cell"])
-
-    dealt = both.mapInArrow(deal, "id long, v array<long>, query boolean, cell int")
-    own = F.pmod(F.xxhash64("id"), F.lit(n_blocks)).cast("int")
-    blocks = F.when(F.col("query"), F.sequence(F.lit(0), F.lit(n_blocks - 1))).otherwise(F.array(own))
-    dealt = dealt.select("id", "v", "query", "cell", F.explode(blocks).alias("block"))
-
+            for lo in range(0, b.num_rows, 1024):
+                part = b.slice(lo, 1024)
+                ids, v = part.column("id").to_numpy(), _rows(part.column("v"), width).astype(float)
+                least = _least(ids, v, sample_ids, sample, k)
+                row, cell = np.nonzero(bounds(v, centre, radius, longest) >= least[:, None])
+                take = pa.array(row)
+                yield pa.RecordBatch.from_arrays([part.column("id").take(take), part.column("v").take(take), pa.array(cell, pa.int32())], ["id", "v", "cell"])
+
+    asked = step(queries.mapInArrow(ask, "id long, v array<long>, cell int"), "asked")
+    needed = {r["cell"]: r["count"] for r in asked.groupBy("cell").count().collect()}  # a row per cell
+    cells = [(c, -(-m // DATA_BLOCK), -(-needed[c] // QUERY_GROUP)) for c, m in sizes.items() if c in needed]
+    cells = table.sparkSession.createDataFrame(cells, "cell int, blocks int, parts int")
+    block, part = (F.pmod(F.xxhash64("id"), F.col(c)).cast("int") for c in ("blocks", "parts"))
+    every_block, every_part = (F.explode(F.sequence(F.lit(0), F.col(c) - 1)) for c in ("blocks", "parts"))
+    asked = asked.join(cells, "cell").select("id", "v", F.lit(True).alias("query"), "cell", every_block.alias("block"), part.alias("part"))
+    placed = placed.join(cells, "cell").select("id", "v", F.lit(False).alias("query"), "cell", block.alias("block"), every_part.alias("part"))
+    return asked, placed
+
+
+def _solver(k: int):
     def solve(group: pa.Table) -> pa.Table:
         query = group.column("query").to_numpy().astype(bool)
+        width = int(np.diff(group.column("v").combine_chunks().offsets.to_numpy()).max(initial=0))
         ids, v = group.column("id").to_numpy(), _rows(group.column("v"), width)
         asked, held = np.flatnonzero(query), np.flatnonzero(~query)
         out = []
@@ -149,7 +165,4 @@ def top_k(
         cols = list(zip(*out)) if out else [(), (), ()]
         return pa.table([pa.array(c, pa.int64()) for c in cols], names=["query_id", "vec_id", "score"])
 
-    local = dealt.groupBy("cell", "block").applyInArrow(solve, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    merged = local.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return merged.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+    return solve
