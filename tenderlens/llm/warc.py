@@ -2,7 +2,7 @@
 
 An archive folder holds two tables. ``payloads`` (digest, payload) has each payload's bytes once under its SHA-256;
 ``headers`` (record, header, digest) has the header block of every record byte for byte. ``read_records`` puts them
-together again: header, blank line, block, two line ends, as the format demands.
+together again: header, blank line, block, two line ends, as the format demands; ``parse_records`` reads those bytes.
 """
 
 from __future__ import annotations
@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import step
+
 CRLF = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -74,14 +76,22 @@ def write_archive(
     records.select("record", header.alias("header"), "digest").write.option("compression", "zstd").parquet(f"{path}/headers")
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """``record_bytes`` as archived and ``payload`` (of a revisit: that of the record it refers to), one row a record."""
+def read_records(spark: SparkSession, path: str, with_payload: bool = False) -> DataFrame:
+    """``record_bytes`` of each record as archived: header, empty line, block, two line ends.
+
+    Only responses meet their payload; a revisit has no block. With ``with_payload`` each row also has its ``payload``, a
+    revisit that of the record it refers to.
+    """
     headers = spark.read.schema("record long, header string, digest string").parquet(f"{path}/headers")
     payloads = spark.read.schema("digest string, payload binary").parquet(f"{path}/payloads")
     revisit = F.col("header").contains(CRLF + "WARC-Type: revisit" + CRLF)
-    block = F.when(revisit, F.lit(b"")).otherwise(F.col("payload"))
-    record = F.concat(F.encode("header", "UTF-8"), block, F.lit((CRLF * 2).encode()))
-    return headers.join(payloads, "digest").select("header", "payload", record.alias("record_bytes"))
+    end = F.lit((CRLF * 2).encode())
+    whole = F.concat(F.encode("header", "UTF-8"), F.col("payload"), end).alias("record_bytes")
+    bare = F.concat(F.encode("header", "UTF-8"), end).alias("record_bytes")
+    full, again = headers.where(~revisit).join(payloads, "digest"), headers.where(revisit)
+    if with_payload:
+        return full.select(whole, "payload").unionByName(again.join(payloads, "digest").select(bare, "payload"))
+    return full.select(whole).unionByName(again.select(bare))
 
 
 def field(name: str) -> Column:
@@ -90,19 +100,37 @@ def field(name: str) -> Column:
 
 
 def parse_records(records: DataFrame, id_col: str = "page_id") -> DataFrame:
-    """Fields of the header block and of the payload that was read.
+    """Fields and block of each record, from its bytes alone.
 
-    ``payload_digest`` is the archived digest if the payload read has it, else NULL.
+    The header ends at the first empty line; the block has ``Content-Length`` bytes and is followed by two line ends. A
+    revisit takes ``payload_bytes`` and ``payload_digest`` from the block of the record it refers to. ``payload_digest``
+    is the SHA-1 of the block that was read, NULL if the header's differs, the length is wrong, or no such record is there.
     """
     uri = r"<urn:page:(-?[0-9]+)>"
-    number = lambda c: F.nullif(F.regexp_extract(c, uri, 1), F.lit("")).cast("long")
-    sha1 = F.sha1("payload")
-    return records.select(
+    number = lambda c: F.nullif(F.regexp_extract(F.coalesce(c, F.lit("")), uri, 1), F.lit("")).cast("long")
+    head = F.substring_index(F.col("record_bytes").cast("string"), CRLF * 2, 1)
+    start = F.octet_length("header") + len(CRLF)
+    cut = records.select("record_bytes", F.concat(head, F.lit(CRLF)).alias("header"))
+    cut = cut.withColumn("length", field("Content-Length").try_cast("int"))
+    whole = F.octet_length("record_bytes") == start + F.col("length") + 2 * len(CRLF)
+    block = F.when(whole, F.substring("record_bytes", start + 1, F.col("length")))
+    parsed = cut.select(
         number(field("WARC-Record-ID")).alias(id_col),
-        F.octet_length("payload").cast("long").alias("payload_bytes"),
-        F.when(field("WARC-Payload-Digest") == F.concat(F.lit("sha1:"), sha1), sha1).alias("payload_digest"),
+        F.octet_length(block).cast("long").alias("payload_bytes"),
+        F.sha1(block).alias("found"),
+        F.substring_index(field("WARC-Payload-Digest"), ":", -1).alias("stated"),
         field("WARC-Type").alias("record_type"),
-        number(F.coalesce(field("WARC-Refers-To"), F.lit(""))).alias("refers_to"),
+        number(field("WARC-Refers-To")).alias("refers_to"),
         field("WARC-Target-URI").alias("url"),
         F.octet_length("record_bytes").cast("long").alias("record_length"),
     )
+    # Both sides of the join read this: the payloads are not put together a second time.
+    parsed = step(parsed, "records")
+    held = parsed.where("record_type = 'response'")
+    # rows that repeat an id are responses each, with equal payloads if anything refers to them
+    target = held.groupBy(F.col(id_col).alias("refers_to")).agg(F.min(F.struct("payload_bytes", "found")).alias("t"))
+    again = parsed.where("record_type = 'revisit'").drop("payload_bytes", "found").join(target, "refers_to", "left")
+    again = again.select(*[c for c in again.columns if c != "t"], "t.payload_bytes", "t.found")
+    out = held.unionByName(again)
+    digest = F.when(F.col("found") == F.col("stated"), F.col("found")).alias("payload_digest")
+    return out.select(id_col, "payload_bytes", digest, "record_type", "refers_to", "url", "record_length")

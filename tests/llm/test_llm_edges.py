@@ -361,7 +361,7 @@ def test_archive_round_trip(spark, tmp_path):
     got = {(r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in parse_records(records).collect()}
     assert {(1, 1207, "revisit", 9), (2, 1207, "revisit", 9), (9, 1207, "response", None), (3, 0, "response", None), (4, 0, "response", None)} <= got
     assert {(5, 4, "response", None), (6, 4, "response", None), (7, 100_000, "response", None)} <= got and len(got) == 9
-    for r in records.collect():
+    for r in read_records(spark, f"{tmp_path}/a", with_payload=True).collect():
         head, _, block = bytes(r["record_bytes"]).partition(b"\r\n\r\n")
         fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
         assert len(block) == int(fields["Content-Length"]) + 4 and block.endswith(b"\r\n\r\n") and "X" not in fields
