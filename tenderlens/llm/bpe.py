@@ -22,7 +22,7 @@ _MULT = 0x9E3779B1
 WINDOW_DOUBLINGS = 4  # 16 bytes
 
 
-def cuts(data: bytes, bits: int = 12, least: int = 1024, most: int = 1 << 14) -> list[int]:
+def cuts(data: bytes, bits: int = 7, least: int = 64, most: int = 1 << 14) -> list[int]:
     """Ends of the chunks, the last included. About ``2 ** bits`` bytes each, never inside a character."""
     n = len(data)
     if n <= least:
@@ -99,24 +99,25 @@ def join_chunks(chunks: list[Chunk], enc: Encoder) -> np.ndarray:
 
 
 class ChunkReuse:
-    """Encodes texts, keeping chunks up to ``keep_bytes`` of chunk text; the oldest goes first."""
+    """Encodes texts, keeping chunks up to ``keep_bytes`` of chunk text; the one not used for longest goes first."""
 
     def __init__(self, enc: Encoder, keep_bytes: int = 6 << 20):
         self.enc, self.keep, self.held, self.cache = enc, keep_bytes, 0, {}
-        self.encoded = self.reused = 0
+        self.encoded = self.reused = 0  # bytes of chunks
 
     def chunk(self, data: bytes) -> Chunk:
-        c = self.cache.get(data)
+        c = self.cache.pop(data, None)
         if c is None:
             c = self.cache[data] = Chunk(data, self.enc)
-            self.encoded += 1
+            self.encoded += len(data)
             self.held += len(data)
             while self.held > self.keep:
                 old = next(iter(self.cache))
                 self.held -= len(old)
                 del self.cache[old]
         else:
-            self.reused += 1
+            self.cache[data] = c
+            self.reused += len(data)
         return c
 
     def encode(self, text: str) -> np.ndarray:
