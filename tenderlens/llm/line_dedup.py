@@ -31,6 +31,11 @@ class LineRuns:
         self.levels: list[list[str]] = []
         self._n, self._tag = 0, uuid.uuid4().hex[:12]
 
+    def close(self) -> None:
+        """Take the runs out of the session's catalogue; their files belong to the scratch folder."""
+        for i in range(1, self._n + 1):
+            self.spark.sql(f"DROP TABLE IF EXISTS line_run_{self._tag}_{i}")
+
     def _write(self, df: DataFrame) -> str:
         self._n += 1
         name = f"line_run_{self._tag}_{self._n}"
@@ -126,16 +131,22 @@ def line_dedup(
         repeats = seen.where("known is not null or owner <> last").select("hash", F.coalesce("known", "owner").alias("first"))
         lost = mine.join(repeats, "hash").where("row_id > first").select("row_id", "tag", "pos")
         dropped = lost if dropped is None else dropped.unionByName(lost)
+    store.close()  # what the runs told is written
 
     # A document's positions are at most its own lines, so this set is bounded by a row of the input, however many rows
     # of one id and text bring the same positions.
     holes = dropped.groupBy("row_id", "tag").agg(F.sort_array(F.collect_set("pos")).alias("_holes"))
     outs = ["n_lines", "n_dropped", text_out]
-    carried = docs.select(*[c for c in docs.columns if c not in outs or c in (id_col, text_col)])
-    carried = carried.withColumns({"_row": rid, "_tag": tag})
+    # The other columns travel in one, so that their names meet none of those used here.
+    names = [c for c in docs.columns if c not in outs or c in (id_col, text_col)]
+    carried = docs.select(
+        rid.alias("_row"), tag.alias("_tag"), text.alias("_text"),
+        F.struct(F.lit(0).alias("c"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names) if c != text_col]).alias("_doc"),
+    )
     out = carried.join(
         holes.select(F.col("row_id").alias("_row"), F.col("tag").alias("_tag"), "_holes"), ["_row", "_tag"], "left"
     )
+    text = F.col("_text")
     lines_of, n_lost = _lines(text), F.when(F.col("_holes").isNull(), 0).otherwise(F.size("_holes"))
     # The gaps between dropped positions are slices of the split text: linear in the number of lines.
     gap = F.transform(
@@ -148,11 +159,6 @@ def line_dedup(
         ),
     )
     out = out.withColumn("_lines", lines_of)
-    out = out.withColumns(
-        {
-            "n_lines": F.size("_lines").cast("long"),
-            "n_dropped": n_lost.cast("long"),
-            text_out: F.when(F.col("_holes").isNull(), F.coalesce(text, F.lit(""))).otherwise(F.array_join(F.flatten(gap), "\n")),
-        }
-    )
-    return out.drop("_row", "_tag", "_holes", "_lines")
+    kept = F.when(F.col("_holes").isNull(), F.coalesce(text, F.lit(""))).otherwise(F.array_join(F.flatten(gap), "\n"))
+    back = [(text if c == text_col else F.col("_doc")[f"c{i}"]).alias(c) for i, c in enumerate(names) if c not in outs]
+    return out.select(*back, F.size("_lines").cast("long").alias("n_lines"), n_lost.cast("long").alias("n_dropped"), kept.alias(text_out))

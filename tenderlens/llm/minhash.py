@@ -233,8 +233,9 @@ def near_duplicates(
     percent: int = 80,
     size: int = 5,
     miss: float = MISS,
+    with_tag: bool = False,
 ) -> DataFrame:
-    """One row per input row: id, ``n_shingles``, ``component_id``, ``kept``.
+    """One row per input row: id, ``n_shingles``, ``component_id``, ``kept``; with ``with_tag`` also ``tag``, the text's xxhash64.
 
     Words are runs without ASCII blanks, A-Z lower-cased; a text's set holds its distinct ``size``-word shingles, or
     the whole sequence if it has fewer words. Two texts are linked if ``100 * common >= percent * union``;
@@ -282,4 +283,5 @@ def near_duplicates(
     labels = labels.select("set_key", F.coalesce("component", "rep").alias("component_id"))
     out = sketches.join(labels, "set_key", "left")
     component = F.coalesce("component_id", "row_id")
-    return out.select(F.col("row_id").alias(id_col), "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("row_id")).alias("kept"))
+    kept = component.eqNullSafe(F.col("row_id")).alias("kept")
+    return out.select(F.col("row_id").alias(id_col), "n_shingles", component.alias("component_id"), kept, *["tag"] * with_tag)
