@@ -6,7 +6,7 @@ All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderlens.llm import langid
@@ -19,28 +19,47 @@ from tenderlens.llm.pack import pack
 LEAST_MARGIN = 0.002
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """Id, text and, in one column, the whole row, so that no name of a column can meet one of an operator's."""
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("packed")
+    return docs.select("doc_id", "text", row)
+
+
+def _unpacked(df: DataFrame, columns: list[str], **new: Column) -> DataFrame:
+    """The rows again, with ``new`` values of some columns."""
+    return df.select(*[new.get(c, F.col("packed")[f"c{i}"]).alias(c) for i, c in enumerate(columns)])
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without letters and those too close to call; fill in a missing language.
 
-    Without any labelled text no language is known; then nothing is rejected.
+    Without any labelled text no language is known; then nothing is rejected. Repeated rows are judged alike.
     """
     dictionaries = langid.learn(docs, "doc_id", "text", "lang")
     if not dictionaries:
         return docs
-    out = langid.identify(docs, dictionaries, min_margin=LEAST_MARGIN, keep=docs.columns, text_col="text")
-    return out.where(~F.col("rejected")).withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    out = langid.identify(_packed(docs), dictionaries, min_margin=LEAST_MARGIN, keep=["packed"], text_col="text")
+    lang = F.coalesce(F.col("packed")[f"c{docs.columns.index('lang')}"], F.col("lang_pred"))
+    return _unpacked(out.where(~F.col("rejected")), docs.columns, lang=lang)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated lines stay in the first document that has them. Every document stays; its text may become empty."""
-    kept = line_dedup(docs).withColumn("text", F.col("kept_text"))
-    return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    """Repeated lines stay in the first document that has them. Every row stays; its text may become empty."""
+    out = line_dedup(_packed(docs))
+    return _unpacked(out, docs.columns, text=F.col("kept_text"), n_chars=F.char_length("kept_text").cast("long"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group at similarity 0.8 or more stays: the smallest id. Rows without an id stay."""
-    kept = near_duplicates(docs, percent=80).where(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
+    """One document of each group at similarity 0.8 or more stays: the smallest id.
+
+    Rows that repeat an id are judged by their own texts; of rows with one id and one text a single one stays. Rows without
+    an id stay.
+    """
+    kept = near_duplicates(docs, percent=80, with_tag=True).where("kept and doc_id is not null").select("doc_id", "tag").distinct()
+    rows = _packed(docs).where("doc_id is not null").withColumn("tag", F.xxhash64("text"))
+    # repeats go within each task first; the join then finds the rows dealt as it needs them
+    rows = rows.drop("text").dropDuplicates(["doc_id", "tag"]).join(kept, ["doc_id", "tag"], "left_semi")
+    return _unpacked(rows, docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
