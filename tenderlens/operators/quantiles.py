@@ -1,27 +1,32 @@
-"""Exact interpolated quantiles of groups of any size.
+"""Exact interpolated quantiles of groups of any size, by selection instead of a sort.
 
-The distinct values of all groups, with their counts, are range-sorted once by (group, value) and written to the
-shared folder. A group then lies in consecutive partitions. Sums per (group, partition) tell how many values stand
-before each partition, and running sums inside a partition give every value its ranks. No task holds more than a
-partition, however large a group is, and one algorithm serves all sizes.
+Distinct values with their counts are dealt by (group, slice, value). A slice is a range of values a 256th of a doubling
+wide, known from the value alone, so a large group is spread over many tasks. The sizes of a group's slices, a
+short list, tell which slices hold the ranks that are asked for; only those slices' values are ranked.
+One plan serves all sizes; nothing is written or run when it is built.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
 from .joins import join_null_safe
 
 
+def _slice(v: Column) -> Column:
+    """A number that never falls as the value grows. Doubles span 2 ** -1074 to 2 ** 1024."""
+    size = F.abs(v)
+    slot = F.when(size == float("inf"), F.lit(600_000)).when(size > 0, F.floor(F.log2(size) * 256) + 300_000).otherwise(F.lit(0))
+    return F.when(v < 0, -slot).otherwise(slot).cast("int")
+
+
 def quantiles(df: DataFrame, by: Sequence[str], col: str, probs: Mapping[str, float]) -> DataFrame:
     """One row per group with a column per name in ``probs`` (linear interpolation, R type 7).
 
     NaN counts as missing and infinities as the largest and smallest values; a group without a value has NULLs.
-    The sorted value counts are written when the plan is built.
     """
     by = list(by)
     keys = by or ["__all"]
@@ -29,23 +34,29 @@ def quantiles(df: DataFrame, by: Sequence[str], col: str, probs: Mapping[str, fl
     base = df.select(*by, F.when(~F.isnan(v), v).alias("__v"))
     if not by:
         base = base.withColumn("__all", F.lit(1))
-    counts = base.groupBy(*keys, "__v").agg(F.count("*").alias("__n"))
-    fixed = cut_lineage(counts.orderBy(*keys, "__v").withColumn("__p", F.spark_partition_id()))
-    values = fixed.filter(F.col("__v").isNotNull())
+    counts = base.groupBy(*keys, _slice(F.col("__v")).alias("__s"), "__v").agg(F.count("*").alias("__n"))
+    values = counts.filter(F.col("__v").isNotNull())
 
-    # one row per group and partition that holds it
-    parts = values.groupBy(*keys, "__p").agg(F.sum("__n").alias("__m"))
+    # which slices hold a rank that is asked for
+    sizes = values.groupBy(*keys, "__s").agg(F.sum("__n").alias("__m"))
     whole = Window.partitionBy(*keys)
-    before = whole.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select(
+    before = whole.orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(
         *keys,
-        "__p",
+        "__s",
+        "__m",
         F.coalesce(F.sum("__m").over(before), F.lit(0)).alias("__before"),
         F.sum("__m").over(whole).alias("__total"),
     )
-    inside = Window.partitionBy(*keys, "__p").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = values.withColumn("__hi", F.sum("__n").over(inside))
-    ranked = join_null_safe(ranked, parts, [*keys, "__p"], "inner")
+    ranks = []
+    for p in probs.values():
+        h = (F.col("__total") - 1) * F.lit(float(p))
+        ranks += [F.floor(h), F.ceil(h)]
+    wanted = F.lit(False)
+    for rank in ranks:
+        wanted = wanted | ((rank >= F.col("__before")) & (rank < F.col("__before") + F.col("__m")))
+    inside = Window.partitionBy(*keys, "__s").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = join_null_safe(values, sizes.filter(wanted).drop("__m"), [*keys, "__s"], "inner").withColumn("__hi", F.sum("__n").over(inside))
     hi = F.col("__before") + F.col("__hi")
     lo = hi - F.col("__n")
 
@@ -62,7 +73,7 @@ def quantiles(df: DataFrame, by: Sequence[str], col: str, probs: Mapping[str, fl
         out.append(F.when(a == z, a).otherwise(a + (h - F.floor(h)) * (z - a)).alias(name))
     found = found.select(*keys, *out)
     # groups without a value still get a row
-    groups = fixed.select(*keys).distinct() if by else df.sparkSession.range(1).select(F.lit(1).alias("__all"))
+    groups = counts.select(*keys).distinct() if by else df.sparkSession.range(1).select(F.lit(1).alias("__all"))
     return join_null_safe(groups, found, keys, "left").select(*by, *probs)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import log10_positive, r_div
 from .joins import join_null_safe
-from .quantiles import quantiles
+from .quantiles import quantile_struct, quantiles
 
 _POINTS = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p100": 1.0}
 
@@ -114,11 +114,12 @@ def density(df: DataFrame, col: str, by: Sequence[str] = (), points: int = 128,
     data = df.select(*by, v.alias("__v")).filter(F.col("__v").isNotNull())
     grouped = data.groupBy(*by) if by else data
     spread = grouped.agg(F.count("*").alias("__n"), F.stddev_samp("__v").alias("__sd"))
-    q = quantiles(data, by, "__v", {"__q1": 0.25, "__q3": 0.75})
+    quarters = {"__q1": 0.25, "__q3": 0.75}
     if by:
-        scale = join_null_safe(spread, q, by, "inner")
+        scale = join_null_safe(spread, quantiles(data, by, "__v", quarters), by, "inner")
     else:
-        scale = spread.withColumn("__k", F.lit(1)).join(q.withColumn("__k", F.lit(1)), "__k").drop("__k")
+        q = quantile_struct(data, "__v", quarters)
+        scale = spread.withColumns({n: q[n] for n in quarters})
     iqr = (F.col("__q3") - F.col("__q1")) / 1.34
     bw = 0.9 * F.when(iqr > 0, F.least("__sd", iqr)).otherwise(F.col("__sd")) * F.pow(F.col("__n"), F.lit(-0.2))
     scale = scale.select(*by, "__n", bw.alias("__bw")).filter(F.col("__bw") > 0)
@@ -141,7 +142,8 @@ def density(df: DataFrame, col: str, by: Sequence[str] = (), points: int = 128,
     if by:
         mass = join_null_safe(mass, scale, by, "inner")
     else:
-        mass = mass.withColumn("__k", F.lit(1)).join(scale.withColumn("__k", F.lit(1)), "__k").drop("__k")
+        s = scale.select(F.struct("__n", "__bw").alias("s")).scalar()
+        mass = mass.withColumns({"__n": s["__n"], "__bw": s["__bw"]}).filter(F.col("__bw").isNotNull())
     mass = mass.withColumn("__step", step)
     on_grid = mass.withColumn("grid", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     u = (F.col("grid") - F.col("__g")) * F.col("__step") / F.col("__bw")

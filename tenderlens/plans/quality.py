@@ -244,11 +244,16 @@ def quality_scorecard(
 ) -> DataFrame:
     """The eighteen data-quality indicators as (indicador, clase, valor).
 
-    Two passes over the contracts (sums and flags, then outliers, which need the mean and sd),
-    plus one (buyer, name) and one (supplier, name) pre-aggregate. ``unregistered`` marks rows
+    The columns that are needed are written once and then read for sums and flags, for outliers, which need the mean and
+    sd, and for one (buyer, name) and one (supplier, name) pre-aggregate. ``unregistered`` marks rows
     of buyers without a registered id; by default these are the ids with more than one name.
     """
     rules = anomaly_rules(value, process, addition, unit=unit)
+    # sums, outliers, buyers and suppliers each read it: the columns they need are written once
+    marks = {} if unregistered is None else {"__unregistered": unregistered}
+    names = dict.fromkeys((value, process, addition, buyer, buyer_name, supplier, supplier_name))
+    df = cut_lineage(df.select(*names, *[c.alias(n) for n, c in marks.items()]))
+    unregistered = F.col("__unregistered") if marks else None
     flags = df.withColumns(rules)
     v = F.col(value)
 
