@@ -30,9 +30,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf_dir():
     return "/root/testdata/sf0.001"
-
-
-def rows(df, *cols):
-    """Rows as a sorted list of tuples."""
-    picked = df.select(*cols) if cols else df
-    return sorted((tuple(r) for r in picked.collect()), key=lambda r: tuple((x is not None, str(x)) for x in r))

@@ -6,7 +6,7 @@ import math
 
 import pandas as pd
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from tenderlens.functions import scalar as S

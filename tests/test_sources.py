@@ -5,7 +5,7 @@ from __future__ import annotations
 import gzip
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from tenderlens.plans.panel import hierarchy_paths
