@@ -62,12 +62,13 @@ def test_language_stage(spark, docs):
 def test_line_stage(spark, docs):
     more = spark.createDataFrame([(50, "a line of its own\nshared by two of them", "en", "a"), (51, "Shared by two of them \n", "en", "a")], "doc_id long, text string, lang string, source string")
     more = docs.unionByName(more.withColumn("n_chars", F.lit(0).cast("long")).withColumns({c: F.concat(F.lit(c + "-"), F.col("doc_id").cast("string")) for c in NAMES}))
+    runs = {t.name for t in spark.catalog.listTables()}
     out = P.line_stage(spark, more, "")
+    assert {t.name for t in spark.catalog.listTables()} == runs
     kept_as_given(out, more)
     got = {r["doc_id"]: r for r in out.collect()}
     assert out.count() == more.count() and got[51]["text"] == "" and got[51]["n_chars"] == 0 and got[21]["text"] == ""
     assert got[50]["text"].endswith("two of them") and got[31]["text"] == LONG + " end"
-    assert not [t for t in spark.catalog.listTables() if t.name.startswith("line_run_")]
 
 
 def test_line_dedup_keeps_clashing_names(spark):
