@@ -22,7 +22,7 @@ _MULT = 0x9E3779B1
 WINDOW_DOUBLINGS = 4  # 16 bytes
 
 
-def cuts(data: bytes, bits: int = 7, least: int = 64, most: int = 1 << 14) -> list[int]:
+def cuts(data: bytes, bits: int = 8, least: int = 128, most: int = 1 << 14) -> list[int]:
     """Ends of the chunks, the last included. About ``2 ** bits`` bytes each, never inside a character."""
     n = len(data)
     if n <= least:
