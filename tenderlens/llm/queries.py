@@ -12,7 +12,8 @@ from .bpe import bpe_decode, bpe_encode
 from .common import scratch_path, table
 from .divergence import divergence_audit
 from .exact_dedup import exact_dedup
-from .licences import LEAST_COSINE, TEMPLATES, scan
+from .licence_texts import BODIES, TEMPLATES, VARIANTS, VERSIONS
+from .licences import COMMENT, LEAST_COSINE, numbered, scan
 from .line_dedup import line_dedup
 from .minhash import near_duplicates
 from .pack import pack
@@ -78,42 +79,71 @@ def op4(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-_NOTICES = ", ".join(f"('{name}', {k}, '{x}')" for name, texts in TEMPLATES.items() for k, x in enumerate(texts))
-_TERMS = "unnest(list_filter(string_split_regex(lower({}), '[^a-z0-9]+'), lambda t: t <> ''))"
+_ENTRIES = numbered(TEMPLATES, BODIES)
+_NOTICES = ", ".join("({}, '{}', '{}', {})".format(k, name, x.replace("'", "''"), body) for k, name, x, body in _ENTRIES)
+_TOLD = ", ".join(f"('{w}', {w in VERSIONS})" for w in [*VARIANTS, *VERSIONS])
+_TERM_LIST = "list_filter(string_split_regex(lower({}), '[^a-z0-9]+'), lambda t: t <> '')"
+_TERMS = f"unnest({_TERM_LIST})"
 
 
 @query(
     "op5_licence_scan",
     f"""
-WITH tpl(licence, k, notice) AS (VALUES {_NOTICES}),
-tt AS (SELECT licence, k, term, count(*) AS tf FROM (SELECT licence, k, {_TERMS.format('notice')} AS term FROM tpl) GROUP BY ALL),
+WITH tpl(k, licence, notice, body) AS (VALUES {_NOTICES}),
+tt AS (SELECT k, term, count(*) AS tf FROM (SELECT k, {_TERMS.format('notice')} AS term FROM tpl) GROUP BY ALL),
+told(word, version) AS (VALUES {_TOLD}),
+versioned AS (SELECT DISTINCT k FROM tt JOIN told ON word = term AND version),
+guard AS (SELECT tpl.k, word, tt.term IS NOT NULL AS wanted FROM tpl CROSS JOIN told LEFT JOIN tt ON tt.k = tpl.k AND tt.term = word
+          WHERE NOT version OR (NOT body AND tpl.k IN (SELECT k FROM versioned))),
 n AS (SELECT count(*) AS n FROM documents),
 df AS (SELECT term, count(*) AS df FROM (SELECT DISTINCT doc_id, term FROM (SELECT doc_id, {_TERMS.format('text')} AS term FROM documents))
        WHERE term IN (SELECT term FROM tt) GROUP BY term),
 idf AS (SELECT term, ln((n + 1) / (coalesce(df, 0) + 1)) + 1 AS idf FROM (SELECT DISTINCT term FROM tt) LEFT JOIN df USING (term), n),
-tw AS (SELECT licence, k, term, tf * idf / sqrt(sum((tf * idf) ** 2) OVER (PARTITION BY licence, k)) AS w FROM tt JOIN idf USING (term)),
+tw AS (SELECT k, term, tf * idf / sqrt(sum((tf * idf) ** 2) OVER (PARTITION BY k)) AS w FROM tt JOIN idf USING (term)),
 l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
              generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents WHERE text IS NOT NULL),
-lt AS (SELECT doc_id, line_no, term, count(*) AS tf FROM (SELECT doc_id, line_no, {_TERMS.format('line')} AS term FROM l) GROUP BY ALL),
-lw AS (SELECT doc_id, line_no, term, tf * coalesce(idf, ln(n + 1) + 1) AS w FROM lt LEFT JOIN idf USING (term), n),
-norm AS (SELECT doc_id, line_no, sqrt(sum(w * w)) AS norm FROM lw GROUP BY ALL),
-dots AS (SELECT doc_id, line_no, licence, k, sum(lw.w * tw.w) AS dot FROM lw JOIN tw USING (term) GROUP BY ALL),
-cos AS (SELECT doc_id, line_no, licence, round(dot / norm, 9) AS cosine FROM dots JOIN norm USING (doc_id, line_no)),
-own AS (SELECT * FROM cos WHERE cosine >= {LEAST_COSINE}
-        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, line_no, licence) = 1),
-f AS (SELECT doc_id, concat_ws('/', coalesce(source, 'none'), coalesce(lang, 'none'), CAST(doc_id // 1000 AS VARCHAR)) AS folder FROM documents),
-h AS (SELECT folder, licence FROM f JOIN own USING (doc_id) WHERE line_no = 0
-      QUALIFY row_number() OVER (PARTITION BY folder ORDER BY folder || '/' || doc_id) = 1)
-SELECT f.doc_id, f.folder || '/' || f.doc_id AS path, CAST(line_no AS INTEGER) AS line_no, own.licence AS licence, cosine,
-       h.licence AS inherited, h.folder AS inherited_from
-FROM f LEFT JOIN own USING (doc_id) LEFT JOIN h ON f.folder = h.folder""",
+m AS (SELECT *, regexp_extract(line, '{COMMENT}', 1) AS mark, len({_TERM_LIST.format('line')}) = 0 AS bare FROM l),
+b AS (SELECT *, coalesce(mark <> lag(mark) OVER o, true) AS turn, bare <> coalesce(lag(bare) OVER o, true) AS gap
+      FROM m WINDOW o AS (PARTITION BY doc_id ORDER BY line_no)),
+c AS (SELECT *, count(*) FILTER (WHERE turn) OVER o AS run, count(*) FILTER (WHERE turn OR gap) OVER o AS part
+      FROM b WINDOW o AS (PARTITION BY doc_id ORDER BY line_no)),
+u AS (SELECT doc_id, 'line' AS kind, line_no AS no, line_no, line FROM c WHERE NOT bare
+      UNION ALL SELECT doc_id, 'block', part, line_no, line FROM c WHERE NOT bare
+      UNION ALL SELECT doc_id, 'run', run, line_no, line FROM c WHERE NOT bare
+      UNION ALL SELECT doc_id, 'file', 0, line_no, line FROM c WHERE NOT bare),
+e AS (SELECT doc_id, kind, no, min(line_no) AS line_no, max(line_no) - min(line_no) + 1 AS n_lines FROM u GROUP BY ALL),
+lt AS (SELECT doc_id, kind, no, term, count(*) AS tf FROM (SELECT doc_id, kind, no, {_TERMS.format('line')} AS term FROM u) GROUP BY ALL),
+lw AS (SELECT doc_id, kind, no, term, tf * coalesce(idf, ln(n + 1) + 1) AS w FROM lt LEFT JOIN idf USING (term), n),
+norm AS (SELECT doc_id, kind, no, sqrt(sum(w * w)) AS norm FROM lw GROUP BY ALL),
+dots AS (SELECT doc_id, kind, no, k, sum(lw.w * tw.w) AS dot FROM lw JOIN tw USING (term) GROUP BY ALL),
+cos AS (SELECT doc_id, kind, no, k, round(dot / norm, 9) AS cosine FROM dots JOIN norm USING (doc_id, kind, no)
+        WHERE round(dot / norm, 9) >= {LEAST_COSINE}),
+wrong AS (SELECT DISTINCT cos.doc_id, cos.kind, cos.no, cos.k FROM cos JOIN guard USING (k)
+          LEFT JOIN lt ON lt.doc_id = cos.doc_id AND lt.kind = cos.kind AND lt.no = cos.no AND lt.term = word
+          WHERE wanted <> (lt.term IS NOT NULL)),
+own AS (SELECT doc_id, line_no, n_lines, licence, cosine
+        FROM cos ANTI JOIN wrong USING (doc_id, kind, no, k) JOIN e USING (doc_id, kind, no) JOIN tpl USING (k)
+        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, line_no, n_lines, licence) = 1),
+p AS (SELECT doc_id, coalesce(source, 'none') || '/' || regexp_replace(left(CAST(doc_id AS VARCHAR), -1), '([0-9])', '\\1/', 'g') AS stem FROM documents),
+f AS (SELECT doc_id, stem || doc_id AS path, left(stem, -1) AS folder FROM p),
+h AS (SELECT folder, licence FROM f JOIN own USING (doc_id)
+      QUALIFY row_number() OVER (PARTITION BY folder ORDER BY path) = 1),
+a AS (SELECT f.doc_id, h.licence, h.folder FROM f JOIN h ON f.folder = h.folder OR starts_with(f.folder, h.folder || '/')
+      QUALIFY row_number() OVER (PARTITION BY f.doc_id ORDER BY length(h.folder) DESC) = 1)
+SELECT f.doc_id, f.path, CAST(line_no AS INTEGER) AS line_no, CAST(n_lines AS INTEGER) AS n_lines, own.licence AS licence, cosine,
+       a.licence AS inherited, a.folder AS inherited_from
+FROM f LEFT JOIN own USING (doc_id) LEFT JOIN a ON a.doc_id = f.doc_id""",
 )
 def op5(spark, sf_dir):
-    """Documents as files ``source/lang/block/doc_id``; one that opens with a notice is its directory's licence file."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    block = F.floor(F.col("doc_id") / 1000).cast("string")
-    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")), block, F.col("doc_id").cast("string"))
-    out = scan(docs.select(path.alias("path"), "text"), is_licence_file=F.col("line_no") == 0)
+    """Documents as files ``source/1/2/3/1234``: a folder a digit of the id but the last, so shorter ids stand further up.
+
+    A document with a notice is its directory's licence file, for all directories below that have none.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    name = F.col("doc_id").cast("string")
+    folders = F.regexp_replace(F.regexp_replace(name, ".$", ""), "([0-9])", "$1/")
+    path = F.concat(F.coalesce("source", F.lit("none")), F.lit("/"), folders, name)
+    out = scan(docs.select(path.alias("path"), "text"), is_licence_file=F.lit(True))
     return out.withColumn("doc_id", F.element_at(F.split("path", "/"), -1).cast("long")).select("doc_id", *out.columns)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import textwrap
 
 import numpy as np
 import pytest
@@ -12,6 +13,7 @@ from tenderlens.llm import langid
 from tenderlens.llm.bpe import ChunkReuse, bpe_decode, bpe_encode, cuts
 from tenderlens.llm.components import components
 from tenderlens.llm.exact_dedup import exact_dedup
+from tenderlens.llm.licence_texts import BODIES, TEMPLATES
 from tenderlens.llm.licences import scan
 from tenderlens.llm.line_dedup import LineRuns, line_dedup
 from tenderlens.llm.minhash import band_rows, least_matches, links, near_duplicates
@@ -299,6 +301,44 @@ def test_licence_scan(spark, nothing):
     assert scan(df).count() == len(files) and scan(df.limit(0)).count() == 0
 
 
+def _wrapped(text, width=60, mark=""):
+    return "\n".join(mark + x for x in textwrap.wrap(text, width))
+
+
+def test_licence_bodies_headers_and_variants(spark):
+    mit, two, three = BODIES["MIT"][1], BODIES["BSD-2-Clause"][0], BODIES["BSD-3-Clause"][0]
+    gpl = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+    apache = next(x for x in TEMPLATES["Apache-2.0"] if x.endswith("LICENSE-2.0"))
+    code = "\nimport os\n" + "".join(f"def f{i}(x):\n    return x * {i}\n\n" for i in range(300))
+    commented = lambda text, mark: "\n".join(mark + x for x in ["Copyright 2020 A. Person", "", *textwrap.wrap(text, 60)])
+    wanted = {
+        "m/LICENSE": ("MIT License\n\nCopyright (c) 2019 Some Body\n\n" + _wrapped(mit), "MIT"),
+        "m/head.c": ("/*\n" + commented(mit, " * ") + "\n */" + code, "MIT"),
+        "b/two": ("Copyright (c) 2001, Some Body\nAll rights reserved.\n\n" + _wrapped(two), "BSD-2-Clause"),
+        "b/three": ("Copyright (c) 2001, Some Body\nAll rights reserved.\n\n" + _wrapped(three), "BSD-3-Clause"),
+        "b/two.py": (commented(two, "# ") + code, "BSD-2-Clause"),
+        "b/three.py": (commented(three, "# ") + code, "BSD-3-Clause"),
+        "g/two.py": (commented(gpl.format(2), "# ") + code, "GPL-2.0"),
+        "g/three.sql": (commented(gpl.format(3), "-- ") + code, "GPL-3.0"),
+        "g/affero.js": (commented(gpl.format(3).replace("GNU", "GNU Affero"), "// ") + code, "AGPL-3.0"),
+        "g/COPYING": ("   GNU GENERAL PUBLIC LICENSE\n     Version 2, June 1991\n\n" + LONG, "GPL-2.0"),
+        "g/line": ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+        "a/x.java": ("/*\n" + commented(apache, " * ") + "\n */" + code, "Apache-2.0"),
+        "a/one": ("Licensed under the Apache License, Version 1.1.", None),
+        "c/ncsa": ("Licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-SA-4.0"),
+        "c/sa3": ("Licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.", "CC-BY-SA-3.0"),
+        "c/nc": ("This is licensed under a Creative Commons Attribution-Non-Commercial 4.0 International License.", None),
+        "s/x.rs": ("// SPDX-License-Identifier: LGPL-2.1-or-later\n" + code, "LGPL-2.1"),
+        "s/y.rs": ("// SPDX-License-Identifier: BSD-2-Clause\r\n" + code, "BSD-2-Clause"),
+        "n/none.py": (code, None),
+    }
+    files = spark.createDataFrame([(p, t) for p, (t, _) in wanted.items()], "path string, text string")
+    got = {r["path"]: r for r in scan(files.unionAll(files)).collect()}
+    assert {p: r["licence"] for p, r in got.items()} == {p: x for p, (_, x) in wanted.items()}
+    assert got["m/head.c"]["inherited"] == "MIT" and got["g/two.py"]["inherited"] == "GPL-2.0" and got["a/one"]["inherited"] is None
+    assert (got["g/COPYING"]["line_no"], got["g/COPYING"]["n_lines"]) == (0, 2)
+
+
 def test_url_filter(spark):
     urls = [
         (1, "http://WWW.Example.com/en/1?q=/x"), (2, "https://a.example.com/en/2#t"), (3, "http://b.net/es/x"), (4, "http://b.net/fr"),

@@ -136,43 +136,65 @@ def test_op8_pieces_and_sequences(spark, sf_dir, texts, reference):
 
 
 def test_op5_cosines(spark, sf_dir, con):
-    """Every line against every template, in plain Python."""
+    """Every line, block, run and file against every template, in plain Python."""
     import math
     import re
 
-    from tenderlens.llm.licences import LEAST_COSINE, TEMPLATES
+    from tenderlens.llm.licence_texts import BODIES, TEMPLATES, VARIANTS
+    from tenderlens.llm.licences import LEAST_COSINE
 
-    docs = con.execute("SELECT doc_id, coalesce(text, ''), source, lang FROM documents").fetchall()
+    docs = con.execute("SELECT doc_id, coalesce(text, ''), coalesce(source, 'none') FROM documents").fetchall()
     split = lambda t: [x for x in re.split("[^a-z0-9]+", t.lower()) if x]
-    vocabulary = {t for texts in TEMPLATES.values() for x in texts for t in split(x)}
-    df = Counter(t for _, text, _, _ in docs for t in set(split(text)) & vocabulary)
+    entries = [(n, x, b) for group, b in ((TEMPLATES, False), (BODIES, True)) for n, texts in group.items() for x in texts]
+    vocabulary = {t for _, x, _ in entries for t in split(x)}
+    df = Counter(t for _, text, _ in docs for t in set(split(text)) & vocabulary)
     idf = lambda t: math.log((len(docs) + 1) / (df[t] + 1)) + 1 if t in vocabulary else math.log(len(docs) + 1) + 1
+    version = lambda t: bool(re.fullmatch("v?[1-9]", t))
 
     def vector(text):
         v = {t: n * idf(t) for t, n in Counter(split(text)).items()}
         norm = math.sqrt(sum(x * x for x in v.values()))
         return {t: x / norm for t, x in v.items()} if norm else {}
 
-    models = [(name, vector(x)) for name, texts in TEMPLATES.items() for x in texts]
+    def agree(text, template, body):
+        a, b = set(split(text)), set(split(template))
+        numbers = not body and any(map(version, b))
+        return all(t not in VARIANTS and not (numbers and version(t)) for t in a ^ b)
+
+    def passages(lines):
+        yield 0, lines
+        mark = [(re.match(r"[ \t]*/?([*]|/|#|--|;|%)", x) or [None, ""])[1] for x in lines]
+        bare = [not split(x) for x in lines]
+        for same in (lambda i: False, lambda i: mark[i] == mark[i - 1], lambda i: mark[i] == mark[i - 1] and bare[i] == bare[i - 1]):
+            cuts = [i for i in range(len(lines)) if i == 0 or not same(i)] + [len(lines)]
+            yield from ((a, lines[a:b]) for a, b in zip(cuts, cuts[1:]))
+
+    models = [(n, vector(x), x, b) for n, x, b in entries]
     want, path = {}, {}
-    for i, text, source, lang in docs:
-        path[i] = f"{source}/{lang}/{i // 1000}/{i}"
+    for i, text, source in docs:
+        path[i] = "/".join([source, *str(i)[:-1], str(i)])
         found = []
-        for no, line in enumerate(text.split("\n")):
-            if set(split(line)) & vocabulary:
-                v = vector(line)
-                found += [(-round(c, 9), no, n) for n, m in models if (c := sum(x * m.get(t, 0) for t, x in v.items())) >= LEAST_COSINE]
+        for no, lines in passages(text.split("\n")):
+            part = "\n".join(lines)
+            v = vector(part)
+            full = [k for k, x in enumerate(lines) if split(x)]
+            for n, m, x, b in models:
+                if (c := sum(y * m.get(t, 0) for t, y in v.items())) >= LEAST_COSINE and agree(part, x, b):
+                    found.append((-round(c, 9), no + full[0], full[-1] - full[0] + 1, n))
         want[i] = min(found) if found else None
     got = {r["doc_id"]: r for r in QUERIES["op5_licence_scan"](spark, sf_dir).collect()}
     assert set(got) == set(want) and any(want.values())
     holds = {}
     for i, w in sorted(want.items(), key=lambda x: path[x[0]]):
-        if w and w[1] == 0:
-            holds.setdefault(path[i].rpartition("/")[0], w[2])
+        if w:
+            holds.setdefault(path[i].rpartition("/")[0], w[3])
     for i, r in got.items():
-        assert (r["line_no"], r["licence"]) == ((want[i][1], want[i][2]) if want[i] else (None, None))
+        assert (r["line_no"], r["n_lines"], r["licence"]) == ((want[i][1:]) if want[i] else (None, None, None))
         assert r["cosine"] is None or abs(r["cosine"] + want[i][0]) < 1e-8
-        assert r["inherited"] == holds.get(path[i].rpartition("/")[0])
+        at = path[i].rpartition("/")[0]
+        while at and at not in holds:
+            at = at.rpartition("/")[0]
+        assert (r["path"], r["inherited"], r["inherited_from"]) == (path[i], holds.get(at), at or None)
 
 
 def test_op6_rules_and_verdicts(spark, sf_dir, con):
