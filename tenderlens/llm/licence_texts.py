@@ -9,12 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-# GNU licences, their label, versions and the date in the title of each.
-GNU = {
-    "GPL": ("General", {"2.0": "June 1991", "3.0": "29 June 2007"}),
-    "LGPL": ("Lesser General", {"2.1": "February 1999", "3.0": "29 June 2007"}),
-    "AGPL": ("Affero General", {"3.0": "19 November 2007"}),
-}
+# GNU licences, their label, version and the date in their title.
+GNU = [
+    ("GPL", "General", "2.0", "June 1991"),
+    ("GPL", "General", "3.0", "29 June 2007"),
+    ("LGPL", "Library General", "2.0", "June 1991"),
+    ("LGPL", "Lesser General", "2.1", "February 1999"),
+    ("LGPL", "Lesser General", "3.0", "29 June 2007"),
+    ("AGPL", "Affero General", "3.0", "19 November 2007"),
+]
 # Creative Commons variants and the ports of their versions.
 CC_VARIANTS = {
     "BY": "Attribution",
@@ -133,20 +136,19 @@ VERSIONS = [f"{v}{k}" for v in ("", "v") for k in range(1, 10)]
 
 
 def _by_rule() -> Iterator[tuple[str, str]]:
-    for name, (label, versions) in GNU.items():
-        for version, date in versions.items():
-            licence, say = f"{name}-{version}", version.removesuffix(".0")
-            yield licence, f"This work is licensed under the GNU {label} Public License, version {say}"
-            yield licence, f"Licensed under the GNU {label} Public License v{version}"
-            yield licence, f"GNU {label} Public License Version {say}, {date}"
-            for what in ("program", "library"):
-                yield licence, (
-                    f"This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {label} Public "
-                    f"License as published by the Free Software Foundation, either version {say} of the License, or (at your option) "
-                    "any later version."
-                )
-            for extent in ("only", "or-later"):
-                yield licence, f"SPDX-License-Identifier: {licence}-{extent}"
+    for name, label, version, date in GNU:
+        licence, say = f"{name}-{version}", version.removesuffix(".0")
+        yield licence, f"This work is licensed under the GNU {label} Public License, version {say}"
+        yield licence, f"Licensed under the GNU {label} Public License v{version}"
+        yield licence, f"GNU {label} Public License Version {say}, {date}"
+        for what in ("program", "library"):
+            yield licence, (
+                f"This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {label} Public "
+                f"License as published by the Free Software Foundation, either version {say} of the License, or (at your option) "
+                "any later version."
+            )
+        for extent in ("only", "or-later"):
+            yield licence, f"SPDX-License-Identifier: {licence}-{extent}"
     for variant, words in CC_VARIANTS.items():
         for version, port in CC_VERSIONS.items():
             licence = f"CC-{variant}-{version}"

@@ -322,6 +322,7 @@ def test_licence_bodies_headers_and_variants(spark):
         "g/three.sql": (commented(gpl.format(3), "-- ") + code, "GPL-3.0"),
         "g/affero.js": (commented(gpl.format(3).replace("GNU", "GNU Affero"), "// ") + code, "AGPL-3.0"),
         "g/COPYING": ("   GNU GENERAL PUBLIC LICENSE\n     Version 2, June 1991\n\n" + LONG, "GPL-2.0"),
+        "g/library": ("   GNU LIBRARY GENERAL PUBLIC LICENSE\n     Version 2, June 1991\n\n" + LONG + "\n\n" + gpl.format(2), "LGPL-2.0"),
         "g/line": ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
         "a/x.java": ("/*\n" + commented(apache, " * ") + "\n */" + code, "Apache-2.0"),
         "a/one": ("Licensed under the Apache License, Version 1.1.", None),
