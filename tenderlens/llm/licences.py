@@ -51,7 +51,8 @@ def guards(text: str, body: bool) -> tuple[list[str], list[str]]:
 def weigh(df: Mapping[str, int], n: int, entries: Sequence[tuple[int, str, str, bool]], least: float):
     """(idf of the templates' terms, idf of any other term, weights (number, term, weight), marker terms).
 
-    A text without marker terms cannot reach the cosine ``least``: what is left of each template is too light.
+    A text without marker terms cannot reach the cosine ``least``: what is left of each template is too light. The rarest terms
+    that do so are taken, so few texts have one.
     """
     idf = {t: math.log((n + 1) / (c + 1)) + 1 for t, c in df.items()}
     weights, markers = [], set()
@@ -59,7 +60,7 @@ def weigh(df: Mapping[str, int], n: int, entries: Sequence[tuple[int, str, str,
         w = {t: tf * idf[t] for t, tf in Counter(_terms(text)).items()}
         norm, light = math.sqrt(sum(x * x for x in w.values())), 0.0
         weights += [(k, t, x / norm) for t, x in sorted(w.items())]
-        for t, x in sorted(w.items(), key=lambda i: (i[1], i[0])):
+        for t, x in sorted(w.items(), key=lambda i: (idf[i[0]], i[0])):
             light += (x / norm) ** 2
             if light >= least**2 * (1 - 1e-9):
                 markers.add(t)

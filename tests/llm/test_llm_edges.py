@@ -14,7 +14,7 @@ from tenderlens.llm.bpe import ChunkReuse, bpe_decode, bpe_encode, cuts
 from tenderlens.llm.components import components
 from tenderlens.llm.exact_dedup import exact_dedup
 from tenderlens.llm.licence_texts import BODIES, TEMPLATES
-from tenderlens.llm.licences import scan
+from tenderlens.llm.licences import _terms, numbered, scan, weigh
 from tenderlens.llm.line_dedup import LineRuns, line_dedup
 from tenderlens.llm.minhash import band_rows, least_matches, links, near_duplicates
 from tenderlens.llm.pack import pack, solve
@@ -340,6 +340,16 @@ def test_licence_bodies_headers_and_variants(spark):
     assert (got["g/COPYING"]["line_no"], got["g/COPYING"]["n_lines"]) == (0, 2)
 
 
+def test_licence_markers_are_rare_and_enough():
+    entries = numbered(TEMPLATES, BODIES)
+    vocabulary = sorted({t for _, _, x, _ in entries for t in _terms(x)})
+    common = {"the", "of", "and", "to", "in", "or", "this", "is", "for", "a"}
+    _, _, weights, markers = weigh({t: 900 if t in common else 0 for t in vocabulary}, 1000, entries, 0.8)
+    assert not common & set(markers)
+    left = [sum(w * w for k, t, w in weights if k == n and t not in markers) for n in range(len(entries))]
+    assert max(left) < 0.64
+
+
 def test_url_filter(spark):
     urls = [
         (1, "http://WWW.Example.com/en/1?q=/x"), (2, "https://a.example.com/en/2#t"), (3, "http://b.net/es/x"), (4, "http://b.net/fr"),
