@@ -46,7 +46,6 @@ NOTICES = {
         "Released under the MIT License",
         "Licensed under the MIT License",
         "MIT License",
-        "The MIT License (MIT)",
     ],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
