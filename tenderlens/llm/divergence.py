@@ -87,8 +87,10 @@ def _cell(group: pa.Table) -> pa.Table:
         js = b if first != second else b[b > i]
         partial = np.abs(p[js] - p[i]).sum(1) + np.abs(base[js] - base[i]) * absent
         for j, v in zip(js.tolist(), partial.tolist()):
-            out[0].append(sources[i])
-            out[1].append(sources[j])
+            # rows come in any order: the smaller name first, so that a pair is the same in all term blocks
+            left, right = sorted((sources[i], sources[j]))
+            out[0].append(left)
+            out[1].append(right)
             out[2].append(v)
     cols = [pa.array([lang] * len(out[0]), pa.string()), pa.array(out[0], pa.string()), pa.array(out[1], pa.string()), pa.array(out[2], pa.int64())]
     return pa.table(cols, names=["lang", "left", "right", "partial"])

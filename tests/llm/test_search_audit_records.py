@@ -11,12 +11,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_llm_edges import CLASH, LONG
 
 from tenderlens.llm import records
-from tenderlens.llm.divergence import divergence_audit
+from tenderlens.llm.divergence import _cell, divergence_audit
 from tenderlens.llm.queries import QUERIES
 from tenderlens.llm.ranked_search import Shard, ranked_search, search, terms_of, weight
 from tenderlens.llm.tokens import default_path, encoder
@@ -143,6 +144,25 @@ def test_divergence_audit(spark, sources, terms):
     assert got == audit(docs, 12, 5)
 
 
+def test_pairs_are_the_same_in_every_term_block():
+    """Rows of a cell come in any order; a pair that changed sides with it was two pairs with parts of the sum."""
+    one = {"lang": "a", "first": 0, "second": 0, "block": 0, "block_terms": 2, "terms": ["t"]}
+    rows = [one | {"source": s, "base": b, "shares": [p]} for s, b, p in (("x", 1, 10), ("é", 2, 30), ("b", 4, 70))]
+    want = {("b", "x"): 63, ("b", "é"): 42, ("x", "é"): 21}
+    for order in (rows, rows[::-1], rows[1:] + rows[:1]):
+        got = _cell(pa.Table.from_pylist(order)).to_pylist()
+        assert {(r["left"], r["right"]): r["partial"] for r in got} == want
+
+
+def test_divergence_of_many_sources_and_terms(spark):
+    rnd = random.Random(4)
+    words = [f"{a}{b}" for a in "abcdefgh" for b in "uvwxyz"]
+    docs = [("a", f"s{rnd.randrange(30)}", " ".join(rnd.choices(words, k=rnd.randrange(1, 40)))) for _ in range(400)]
+    df = spark.createDataFrame(docs, "lang string, source string, text string").repartition(7)
+    got = sorted(tuple(r) for r in divergence_audit(df, least_docs=5, term_block=5).collect())
+    assert got == audit(docs, 5, 50)
+
+
 def test_divergence_of_nothing(spark):
     assert divergence_audit(spark.createDataFrame([], "lang string, source string, text string")).count() == 0
 
