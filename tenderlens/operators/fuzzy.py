@@ -11,24 +11,33 @@ Lengths fall into classes, each a quarter wider than the one before, and a text
 partners can be in: about g keys per character and class, linear in its length. T and g are chosen per pair of classes;
 where texts share too few characters for it (very short ones, or very unequal ones), the key is a single character. No
 partner is lost. Candidates are made distinct, and a bound by character counts goes before the distance.
+
+Where one side has few texts, keys cost more than they save, above all where texts are alike and each pair meets in hundreds
+of keys. There blocks of the small side meet blocks of the large one in cells; the bound, a few nanoseconds a pair, is taken
+for all pairs of a cell, the distance for those it leaves.
 """
 
 from __future__ import annotations
 
 import json
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.jaro import jaro_within
+from ..functions.jaro import jaro_distances, jaro_within
 from ..session import cut_lineage
 from .joins import join_null_safe
 
 _EPS = 1e-9
 #: Buckets in which characters are counted, so that the counts are a small table whatever the alphabet; places apart at most.
 _BUCKETS, _MOST_APART = 4096, 6
+#: Most texts of the smaller side for cells instead of keys; texts of a cell's two blocks on average; pairs compared at once; tasks.
+_FEW, _SMALL_BLOCK, _LARGE_BLOCK, _AT_ONCE, _MOST_TASKS = 20_000, 512, 4096, 50_000, 400
 
 
 def _numbered(text: Column) -> Column:
@@ -94,9 +103,79 @@ def _keys(texts: DataFrame, text: str, plan: list[tuple], s: float, left: bool)
     return df.select(text, F.explode(F.array_distinct(F.when(F.col("__g") == 0, single).otherwise(pairs))).alias("__key"))
 
 
-def similar_texts(left: DataFrame, x: str, right: DataFrame, y: str, max_dist: float, name: str) -> DataFrame:
+def _tallies(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths, and how many characters of each of 64 classes of code points each text has (classes x texts)."""
+    lengths = np.array([len(t) for t in texts], np.int64)
+    codes = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32) & 63
+    row = np.repeat(np.arange(len(texts)), lengths)
+    counts = np.bincount(codes * len(texts) + row, minlength=64 * len(texts)).reshape(64, -1)
+    return lengths, counts.astype(np.uint8 if lengths.max(initial=0) < 256 else np.int32)
+
+
+def _meet(small: list[str], large: list[str], max_dist: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places that the character counts allow to be within ``max_dist``, some ten thousands at a time."""
+    need = 3 * (1 - max_dist) - 1
+    (n, a), (k, b) = _tallies(small), _tallies(large)
+    if a.dtype != b.dtype:
+        a, b = a.astype(np.int32), b.astype(np.int32)
+    lists, held = [], 0
+    for i, length in enumerate(n.tolist()):
+        shared = np.zeros(len(large), a.dtype)
+        for c in np.flatnonzero(a[:, i]).tolist():
+            shared += np.minimum(b[c], a[c, i])
+        js = np.flatnonzero((shared > 0) & (shared >= need / (1 / length + 1 / k) - 1e-6))
+        lists.append((np.full(len(js), i), js))
+        held += len(js)
+        if held >= _AT_ONCE:
+            yield tuple(np.concatenate(c) for c in zip(*lists))
+            lists, held = [], 0
+    if held:
+        yield tuple(np.concatenate(c) for c in zip(*lists))
+
+
+def _cells(lt: DataFrame, x: str, rt: DataFrame, y: str, n_left: int, n_right: int, max_dist: float, name: str, least: bool) -> DataFrame:
+    """All pairs of non-empty texts within ``max_dist``, from cells of blocks; with ``least`` only such pairs of a left text
+    as no other pair compared at the same time is nearer."""
+    few_left = n_left <= n_right
+    few, many = math.ceil(min(n_left, n_right) / _SMALL_BLOCK), math.ceil(max(n_left, n_right) / _LARGE_BLOCK)
+
+    def side(texts, c, of_few):
+        own, blocks, others = ("i", few, many) if of_few else ("j", many, few)
+        block = F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int").alias(own)
+        other = F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias("j" if of_few else "i")
+        text = F.col(c)
+        none = F.lit(None).cast("string")
+        return texts.where(text != "").select(block, other, (text if of_few else none).alias("a"), (none if of_few else text).alias("b")).select("i", "j", "a", "b")
+
+    rows = side(lt, x, few_left).unionByName(side(rt, y, not few_left))
+    # a number of tasks by the number of cells: by bytes, all pairs of a few thousand short texts would be one task
+    cells = rows.repartition(min(few * many, _MOST_TASKS), "i", "j").groupBy("i", "j").agg(F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cell in range(batch.num_rows):
+                small, large = (batch.column(c)[cell].as_py() for c in ("a", "b"))
+                if not small or not large:
+                    continue
+                a, b = np.array(small, object), np.array(large, object)
+                for i, j in _meet(small, large, max_dist):
+                    found = pd.DataFrame({"l": i if few_left else j, x: a[i] if few_left else b[j], y: b[j] if few_left else a[i]})
+                    found[name] = jaro_distances(found[x], found[y])
+                    found = found[found[name] <= max_dist]
+                    if least:
+                        found = found[found[name] == found.groupby("l")[name].transform("min")]
+                    if len(found):
+                        cols = [pa.array(found[x], pa.string()), pa.array(found[y], pa.string()), pa.array(found[name], pa.float64())]
+                        yield pa.RecordBatch.from_arrays(cols, [x, y, name])
+
+    return cells.select("a", "b").mapInArrow(compare, f"`{x}` string, `{y}` string, `{name}` double")
+
+
+def similar_texts(left: DataFrame, x: str, right: DataFrame, y: str, max_dist: float, name: str, least: bool = False) -> DataFrame:
     """All pairs of distinct non-NULL texts with Jaro distance at most ``max_dist``; two empty texts are at distance 0.
 
+    With ``least`` pairs may be left out whose left text has a nearer partner; all its nearest ones are there.
+
     Counts of characters and the range of lengths per class, both small whatever the texts, are gathered when the plan is
     built; hand over written tables if the texts are costly.
     """
@@ -112,12 +191,18 @@ def similar_texts(left: DataFrame, x: str, right: DataFrame, y: str, max_dist: f
         F.array(F.struct("side", F.col("cls").alias("k"), "n")),
     )
     told = both.select(F.explode(cells).alias("c")).groupBy("c.side", "c.k").agg(F.count("*").alias("f"), F.min("c.n").alias("lo"), F.max("c.n").alias("hi"))
-    counts, spans = [0] * _BUCKETS, ({}, {})
+    counts, spans, texts = [0] * _BUCKETS, ({}, {}), ({}, {})
     for r in told.collect():  # at most _BUCKETS rows, and a few per doubling of the longest text
         if r["side"] < 0:
             counts[r["k"]] = r["f"]
         else:
             spans[r["side"]][r["k"]] = (r["lo"], r["hi"])
+            texts[r["side"]][r["k"]] = r["f"]
+    # two empty texts are equal
+    empty = lt.filter(F.col(x) == "").join(rt.filter(F.col(y) == ""), F.col(x) == F.col(y), "inner").withColumn(name, F.lit(0.0))
+    n_left, n_right = (sum(sizes.values()) for sizes in texts)
+    if 0 < min(n_left, n_right) <= _FEW:
+        return _cells(lt, x, rt, y, n_left, n_right, max_dist, name, least).unionByName(empty)
     often = F.from_json(F.lit(json.dumps(counts)), "array<bigint>")
     order = F.array_sort(F.transform("__chars", lambda c: F.struct(F.get(often, _bucket(c)).alias("f"), c.alias("c"))))
 
@@ -129,9 +214,7 @@ def similar_texts(left: DataFrame, x: str, right: DataFrame, y: str, max_dist: f
     a, b = side(lt, x, *spans, True), side(rt, y, *spans[::-1], False)
     pairs = a.join(b, "__key").select(x, y).distinct()
     near = pairs.withColumn(name, jaro_within(F.col(x), F.col(y), max_dist)).filter(F.col(name) <= max_dist)
-    # two empty texts are equal
-    empty = lt.filter(F.col(x) == "").join(rt.filter(F.col(y) == ""), F.col(x) == F.col(y), "inner")
-    return near.unionByName(empty.withColumn(name, F.lit(0.0)))
+    return near.unionByName(empty)
 
 
 def fuzzy_join(
@@ -141,19 +224,24 @@ def fuzzy_join(
     max_dist: float,
     how: str = "inner",
     name: str = "distance",
+    least: bool = False,
 ) -> DataFrame:
     """Join rows whose texts are within ``max_dist`` in every pair of ``on``.
 
+    With ``least``, for one pair of texts, matches may be left out where a left row has nearer ones; its nearest stay.
+
     Name the most selective pair first: it supplies the candidates. ``name`` is the mean of the
     per-pair distances, which are kept as ``<name>_1``, ``<name>_2`` and so on.
     """
     clash = set(left.columns) & set(right.columns)
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
+    if least and len(on) > 1:
+        raise ValueError("least is for one pair of texts")
     xs, ys = [x for x, _ in on], [y for _, y in on]
     # the distinct keys are read several times below and are far fewer than the rows behind them
     lk, rk = cut_lineage(left.select(*xs).distinct()), cut_lineage(right.select(*ys).distinct())
-    found = _found(lk, rk, on, max_dist, name)
+    found = _found(lk, rk, on, max_dist, name, least)
     matched = join_null_safe(found, right, ys, "inner")
     out = join_null_safe(left, matched, xs, how)
     return out.select(*left.columns, *right.columns, *_distances(on, name), name)
@@ -170,10 +258,10 @@ def _mean(df: DataFrame, dists: Sequence[str], name: str) -> DataFrame:
     return df.withColumn(name, total / len(dists))
 
 
-def _found(lk: DataFrame, rk: DataFrame, on: Sequence[tuple[str, str]], max_dist: float, name: str) -> DataFrame:
+def _found(lk: DataFrame, rk: DataFrame, on: Sequence[tuple[str, str]], max_dist: float, name: str, least: bool = False) -> DataFrame:
     """Pairs of keys within the distance: candidates by the first pair of columns, the others tested on them."""
     (x, y), dists = on[0], _distances(on, name)
-    found = lk.join(similar_texts(lk, x, rk, y, max_dist, dists[0]), x, "inner").join(rk, y, "inner")
+    found = lk.join(similar_texts(lk, x, rk, y, max_dist, dists[0], least), x, "inner").join(rk, y, "inner")
     for (x, y), d in zip(on[1:], dists[1:]):
         # few texts come up in many pairs: each two are compared once
         near = found.select(x, y).distinct().withColumn(d, jaro_within(F.col(x), F.col(y), max_dist))
