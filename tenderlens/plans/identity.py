@@ -31,7 +31,7 @@ def near_registered(df: DataFrame, name: str, ident: str, max_dist: float = 0.10
     """Closest registered names of each unregistered one, ties kept, for review."""
     missing = unregistered_names(df, name, ident)
     known = keep_out(df.select(name, ident).distinct(), missing, name).withColumnRenamed(name, "registered_name")
-    found = fuzzy_join(missing, known, [(name, "registered_name")], max_dist, "inner")
+    found = fuzzy_join(missing, known, [(name, "registered_name")], max_dist, "inner", least=True)
     return best_match(found, [name], "distance", tie=[], ties=True)
 
 
