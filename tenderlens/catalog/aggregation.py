@@ -10,6 +10,7 @@ from ..operators import stats as St
 from ..operators.quantiles import median, quantiles
 from ..plans import risk as R
 from ..sources.contracts import CLOSED_PROCESS, contracts, table
+from ..sources.files import stage
 from .base import C, query, rounded
 
 
@@ -103,7 +104,7 @@ CAST(count(DISTINCT family) AS BIGINT) AS n_families, CAST(count(DISTINCT grp) A
 CAST(count(DISTINCT supplier_id) AS BIGINT) AS n_counterparts FROM c GROUP BY buyer_id""",
 )
 def a9(spark, d):
-    df = contracts(spark, d, ["buyer_id", "supplier_id", "val", "family", "grp"])
+    df = stage(contracts(spark, d, ["buyer_id", "supplier_id", "val", "family", "grp"]), "contracts")
     out = A.actor_profile(
         df, ["buyer_id"], "val", {"n_families": "family", "n_groups": "grp", "n_counterparts": "supplier_id"}
     )
