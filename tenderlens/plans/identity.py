@@ -143,11 +143,17 @@ def resolve_identities(repaired: DataFrame, raw_keys: Sequence[str], n: str = "n
     ``repaired`` has one row per raw identity with ``id_new``, ``name_new`` and its number of
     contracts. Returns the raw identity with ``id_std`` and ``name_std``. The sentinel id takes
     no part in the first pass: its names belong to unrelated actors.
+
+    Both passes read a table twice, to vote and to join the votes back, and the result joins the first table again: the
+    repaired rows, their distinct pairs and the named pairs are written once each.
     """
-    unique = repaired.groupBy("id_new", "name_new").agg(F.sum(n).alias("n"))
+    # only these columns; the numbers and letters of the fields are not needed any more
+    repaired = cut_lineage(repaired.select(*raw_keys, "id_new", "name_new", F.col(n).alias("n")))
+    unique = cut_lineage(repaired.groupBy("id_new", "name_new").agg(F.sum("n").alias("n")))
     named = resolve_dominant(
         unique, "id_new", "name_new", "n", min_p=8, target="name_std", skip=F.col("id_new") == NO_ID
     )
+    named = cut_lineage(named)
     both = resolve_dominant(named, "name_std", "id_new", "n", min_p=4, target="id_std")
     both = both.select("id_new", "name_new", "id_std", "name_std")
     return join_null_safe(repaired, both, ["id_new", "name_new"], "left").select(*raw_keys, "id_std", "name_std")
@@ -164,6 +170,5 @@ def standardize_suppliers(
     """Contracts with ``id_std`` and ``name_std``, joined back on the four raw fields."""
     raw = [ident, name, rep_id, rep_name]
     distinct = contracts.groupBy(*raw).agg(F.count("*").alias("n"))
-    # one row per raw identity, read by both voting passes and by the join back
-    repaired = cut_lineage(repair_identity(distinct, ident, name, rep_id, rep_name, fixed_names).select(*raw, "n", "id_new", "name_new"))
+    repaired = repair_identity(distinct, ident, name, rep_id, rep_name, fixed_names)
     return join_null_safe(contracts, resolve_identities(repaired, raw), raw, "left")
