@@ -11,8 +11,9 @@ from ..functions import scalar as S
 from ..sources.files import Snapshots
 from . import identity, places, quality, risk
 
-#: The code of closed procurement, and the raw columns of an actor's identity.
+#: The code of closed procurement, and the raw columns of a buyer's place and of a supplier's identity.
 CLOSED = (4,)
+_PLACE = ("departamento_entidad", "municipio_entidad")
 IDENTITY = ("id_contratista", "razon_social_contratista", "id_representante_legal", "nombre_representante_legal")
 
 #: Columns that the indicators read, by their names in the cleaned records
@@ -36,13 +37,16 @@ def clean_contracts(raw: DataFrame, checked: DataFrame, gazetteer: DataFrame, da
     """Standardised, corrected, identified and placed contracts.
 
     ``checked`` are the validated values, ``gazetteer`` has (department, place, code). Each step is a new version of
-    ``data`` and the next one reads it by name; a step that fails leaves the version before. The last step's version is
-    returned under the names that the indicators use.
+    ``data`` and the next one reads it by name; a step that fails leaves the version before. The standardised and the
+    corrected version have all columns. From the identities on, rows travel with the columns that later steps and the
+    indicators read. The last step's version is returned under the names that the indicators use.
     """
     data.write(quality.standardize_contracts(raw, last_year))
     data.write(quality.correct_values(data.read(), checked, low))
     named = identity.assign_surrogates(data.read(), "nombre_entidad", "nit_entidad")
-    data.write(identity.standardize_suppliers(named, *IDENTITY))
+    kept = [*_PLACE, *[c for c in _COLUMNS.values() if c in named.columns]]
+    identified = identity.standardize_suppliers(named.select(*kept, *IDENTITY), *IDENTITY)
+    data.write(identified.select(*kept, "id_std", "name_std"))
     rows = data.read().withColumn("__place", S.cut_before_note(F.col("municipio_entidad")))
     codes = places.resolve_places(rows, "departamento_entidad", "__place", gazetteer, "department", "place", "code")
     placed = places.attach_place_code(rows, "departamento_entidad", "__place", codes)

@@ -78,8 +78,12 @@ def resolve_places(
 
 
 def attach_place_code(df: DataFrame, dept: str, place: str, codes: DataFrame) -> DataFrame:
-    """Join the resolved codes back; missing departments match missing departments."""
-    return join_null_safe(df, codes, [dept, place], "left")
+    """Join the resolved codes back; missing departments match missing departments.
+
+    The codes, one row per distinct place, are written first: a written table has a size that Spark knows, so the
+    contracts are not dealt by place for the sake of a few codes.
+    """
+    return join_null_safe(df, cut_lineage(codes), [dept, place], "left")
 
 
 def place_list(df: DataFrame, places: str, sep: str = ";") -> DataFrame:

@@ -53,7 +53,8 @@ def group_codes(compat: bool = False) -> tuple[tuple[str, str], ...]:
 def standardize_contracts(df: DataFrame, last_year: int = 2019, compat: bool = False) -> DataFrame:
     """Recode categories, unify terms, parse dates, drop duplicates and late years.
 
-    Expects the raw contract columns; see ``RAW_CONTRACT_SCHEMA``.
+    Expects the raw contract columns; see ``RAW_CONTRACT_SCHEMA``. Duplicates leave by ``drop_duplicates``, which writes the
+    standardised rows once.
     """
     c = F.col
     # lower-case once, not once per pattern
@@ -80,8 +81,25 @@ def standardize_contracts(df: DataFrame, last_year: int = 2019, compat: bool = F
         "tiempo_adiciones_dias",
         "tiempo_adiciones_meses",
     )
-    # the year test comes first: it shrinks what the duplicate removal has to shuffle
-    return out.filter(F.year("fecha_firma_contrato") <= last_year).distinct()
+    # the year test comes first: it shrinks what the duplicate removal has to write
+    return drop_duplicates(out.filter(F.year("fecha_firma_contrato") <= last_year))
+
+
+def drop_duplicates(df: DataFrame) -> DataFrame:
+    """Distinct rows of a wide table with few duplicates, without dealing all of its rows.
+
+    The rows are written once. Hashes that occur more than once are counted and written; only rows with such a hash are
+    compared as a whole, so two rows that merely share one both stay. Without room for a broadcast of these hashes the
+    rows are dealt by hash, once for both halves.
+    """
+    rows = cut_lineage(df)
+    names = rows.columns
+    rows = rows.withColumn("__hash", F.xxhash64(*names))
+    repeated = rows.groupBy("__hash").agg(F.count("*").alias("__n")).filter(F.col("__n") > 1)
+    repeated = cut_lineage(repeated.select("__hash", F.lit(True).alias("__seen")))
+    marked = rows.join(repeated, "__hash", "left")
+    once, several = marked.filter(F.col("__seen").isNull()), marked.filter(F.col("__seen"))
+    return once.select(*names).unionByName(several.select(*names).distinct())
 
 
 RAW_CONTRACT_SCHEMA = (
@@ -148,12 +166,15 @@ def shared_urls(df: DataFrame, url: str) -> DataFrame:
     return df.groupBy(url).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
 
 
+def _errors() -> Column:
+    return F.col("error_cuantia_proceso") + F.col("error_cuantia_contrato") + F.col("error_adicion")
+
+
 def correction_table(df: DataFrame, checked: DataFrame, url: str = "ruta_web") -> DataFrame:
     """Corrections that apply: validated, with an error, and to a url of a single contract."""
     cols = ["cuantia_proceso", "cuantia_contrato", "valor_adiciones", "valor_total_con_adiciones", url]
     c = F.col
-    errors = c("error_cuantia_proceso") + c("error_cuantia_contrato") + c("error_adicion")
-    hits = natural_join(df.select(*cols), checked).filter(errors > 0)
+    hits = natural_join(df.select(*cols), checked).filter(_errors() > 0)
     hits = keep_out(hits, shared_urls(df, url), url)
     real = c("cuantia_proceso_real")
     return hits.select(
@@ -165,11 +186,21 @@ def correction_table(df: DataFrame, checked: DataFrame, url: str = "ruta_web") -
 
 
 def correct_values(df: DataFrame, checked: DataFrame, low: float = 5e5, url: str = "ruta_web") -> DataFrame:
-    """Overwrite wrong values from the validated table, then drop low values in local currency."""
-    fixes = correction_table(df, checked, url)
-    out = apply_corrections(
-        df,
-        fixes,
+    """Overwrite wrong values from the validated table, then drop low values in local currency.
+
+    Only contracts whose url may have a correction meet the validated values; the others stay where they are. The urls of a
+    single contract with an error are written as hashes of four bytes: a url that shares the hash of another one is
+    only looked up in vain.
+    """
+    single = df.groupBy(url).agg(F.count("*").alias("__n")).filter(F.col("__n") == 1)
+    wrong = keep_in(single, checked.filter(_errors() > 0), url)
+    wrong = cut_lineage(wrong.select(F.hash(url).alias("__hash")).distinct())
+    hashed = df.withColumn("__hash", F.hash(url))
+    rest = keep_out(hashed, wrong, "__hash").select(*df.columns)
+    some = cut_lineage(keep_in(hashed, wrong, "__hash").select(*df.columns))
+    fixed = apply_corrections(
+        some,
+        correction_table(some, checked, url),
         url,
         {
             "cuantia_proceso": "cuantia_proceso_real",
@@ -178,6 +209,7 @@ def correct_values(df: DataFrame, checked: DataFrame, low: float = 5e5, url: str
         },
         derive={"valor_total_con_adiciones": F.col("cuantia_contrato") + F.col("valor_adiciones")},
     )
+    out = rest.unionByName(fixed)
     return out.filter((F.col("valor_total_con_adiciones") > low) | (F.col("son_cop") != 1))
 
 

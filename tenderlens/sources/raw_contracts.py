@@ -86,14 +86,18 @@ def raw_sql(columns=None) -> str:
 
 
 def raw_contracts(spark: SparkSession, sf_dir: str, columns=None) -> DataFrame:
-    """The raw view over the tables; unused columns are pruned from the scans."""
-    df = table(spark, sf_dir, "lineitem")
-    for name, left, right in (
-        ("orders", "l_orderkey", "o_orderkey"),
-        ("supplier", "l_suppkey", "s_suppkey"),
-        ("customer", "o_custkey", "c_custkey"),
-        ("part", "l_partkey", "p_partkey"),
-        ("nation", "s_nationkey", "n_nationkey"),
-    ):
-        df = df.join(table(spark, sf_dir, name), F.col(left) == F.col(right), "inner")
+    """The raw view over the tables; unused columns are pruned from the scans.
+
+    Each join on a large table moves the rows on its left: orders meet their customers before the line items do, the line
+    items their parts while they are narrow, and the long names of the smallest tables come last.
+    """
+
+    def joined(df: DataFrame, name: str, left: str, right: str) -> DataFrame:
+        return df.join(table(spark, sf_dir, name), F.col(left) == F.col(right), "inner")
+
+    orders = joined(table(spark, sf_dir, "orders"), "customer", "o_custkey", "c_custkey")
+    df = joined(table(spark, sf_dir, "lineitem"), "part", "l_partkey", "p_partkey")
+    df = df.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
+    df = joined(df, "supplier", "l_suppkey", "s_suppkey")
+    df = joined(df, "nation", "s_nationkey", "n_nationkey")
     return df.select(*[F.expr(RAW_EXPRESSIONS[c]).alias(c) for c in columns or RAW_EXPRESSIONS])
