@@ -11,9 +11,8 @@ from ..functions import scalar as S
 from ..sources.files import Snapshots
 from . import identity, places, quality, risk
 
-#: The code of closed procurement, and the raw columns of a buyer's place and of a supplier's identity.
+#: The code of closed procurement, and the raw columns of an actor's identity.
 CLOSED = (4,)
-_PLACE = ("departamento_entidad", "municipio_entidad")
 IDENTITY = ("id_contratista", "razon_social_contratista", "id_representante_legal", "nombre_representante_legal")
 
 #: Columns that the indicators read, by their names in the cleaned records
@@ -36,22 +35,25 @@ _COLUMNS = {
 def clean_contracts(raw: DataFrame, checked: DataFrame, gazetteer: DataFrame, data: Snapshots, last_year: int = 2019, low: float = 5e5) -> DataFrame:
     """Standardised, corrected, identified and placed contracts.
 
-    ``checked`` are the validated values, ``gazetteer`` has (department, place, code). Each step is a new version of
-    ``data`` and the next one reads it by name; a step that fails leaves the version before. The standardised and the
-    corrected version have all columns. From the identities on, rows travel with the columns that later steps and the
-    indicators read. The last step's version is returned under the names that the indicators use.
+    ``checked`` are the validated values, ``gazetteer`` has (department, place, code). Each version of ``data`` is read by name
+    by the steps after it; a step that fails leaves the version before. The first version has the recoded records, the
+    second the distinct and corrected ones, both with all columns. Places and identities are both looked up in the
+    second, so the contracts move once, with the columns that the indicators read; that third version is returned, under
+    the names that the indicators use.
     """
-    data.write(quality.standardize_contracts(raw, last_year))
-    data.write(quality.correct_values(data.read(), checked, low))
-    named = identity.assign_surrogates(data.read(), "nombre_entidad", "nit_entidad")
-    kept = [*_PLACE, *[c for c in _COLUMNS.values() if c in named.columns]]
-    identified = identity.standardize_suppliers(named.select(*kept, *IDENTITY), *IDENTITY)
-    data.write(identified.select(*kept, "id_std", "name_std"))
-    rows = data.read().withColumn("__place", S.cut_before_note(F.col("municipio_entidad")))
+
+    def step(df: DataFrame) -> DataFrame:
+        data.write(df)
+        return data.read()
+
+    standard = quality.standardize_contracts(raw, last_year, write=step)
+    rows = step(quality.correct_values(standard, checked, low)).withColumn("__place", S.cut_before_note(F.col("municipio_entidad")))
     codes = places.resolve_places(rows, "departamento_entidad", "__place", gazetteer, "department", "place", "code")
-    placed = places.attach_place_code(rows, "departamento_entidad", "__place", codes)
-    data.write(placed.select(*[F.col(c).alias(n) for n, c in _COLUMNS.items()]))
-    return data.read()
+    named = identity.assign_surrogates(rows, "nombre_entidad", "nit_entidad")
+    placed = places.attach_place_code(named, "departamento_entidad", "__place", codes)
+    kept = [c for c in _COLUMNS.values() if c in placed.columns]
+    identified = identity.standardize_suppliers(placed.select(*kept, *IDENTITY), *IDENTITY)
+    return step(identified.select(*[F.col(c).alias(n) for n, c in _COLUMNS.items()]))
 
 
 def risk_index(contracts: DataFrame, roles: risk.Roles) -> DataFrame:

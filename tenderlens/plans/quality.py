@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,11 +50,13 @@ def group_codes(compat: bool = False) -> tuple[tuple[str, str], ...]:
     return tuple((f"[{x}]" if compat else rf"\[{x}\]", str(i)) for i, x in enumerate(letters, 1))
 
 
-def standardize_contracts(df: DataFrame, last_year: int = 2019, compat: bool = False) -> DataFrame:
+def standardize_contracts(
+    df: DataFrame, last_year: int = 2019, compat: bool = False, write: Callable[[DataFrame], DataFrame] = cut_lineage
+) -> DataFrame:
     """Recode categories, unify terms, parse dates, drop duplicates and late years.
 
-    Expects the raw contract columns; see ``RAW_CONTRACT_SCHEMA``. Duplicates leave by ``drop_duplicates``, which writes the
-    standardised rows once.
+    Expects the raw contract columns; see ``RAW_CONTRACT_SCHEMA``. Duplicates leave by ``drop_duplicates``, for which
+    ``write`` writes the recoded rows and reads them back.
     """
     c = F.col
     # lower-case once, not once per pattern
@@ -82,17 +84,17 @@ def standardize_contracts(df: DataFrame, last_year: int = 2019, compat: bool = F
         "tiempo_adiciones_meses",
     )
     # the year test comes first: it shrinks what the duplicate removal has to write
-    return drop_duplicates(out.filter(F.year("fecha_firma_contrato") <= last_year))
+    return drop_duplicates(out.filter(F.year("fecha_firma_contrato") <= last_year), write)
 
 
-def drop_duplicates(df: DataFrame) -> DataFrame:
+def drop_duplicates(df: DataFrame, write: Callable[[DataFrame], DataFrame] = cut_lineage) -> DataFrame:
     """Distinct rows of a wide table with few duplicates, without dealing all of its rows.
 
-    The rows are written once. Hashes that occur more than once are counted and written; only rows with such a hash are
+    The rows are written once, by ``write``. Hashes that occur more than once are counted and written; only rows with such a hash are
     compared as a whole, so two rows that merely share one both stay. Without room for a broadcast of these hashes the
     rows are dealt by hash, once for both halves.
     """
-    rows = cut_lineage(df)
+    rows = write(df)
     names = rows.columns
     rows = rows.withColumn("__hash", F.xxhash64(*names))
     repeated = rows.groupBy("__hash").agg(F.count("*").alias("__n")).filter(F.col("__n") > 1)
