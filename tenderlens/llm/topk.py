@@ -3,8 +3,10 @@
 Pivots, about as many as the root of the data, split the data into cells; a summary of each holds its radius and its
 longest vector. A query's k-th score among a bounded sample of the data is a true lower bound. No vector x of a cell with
 pivot p and radius r scores above <q, p> + |q| r, nor above |q| times the cell's longest vector, so a query goes only to
-the cells whose bound reaches its own. Data vectors travel once, to a block of their cell, whatever is pruned (again only
-if more queries need the cell than a task can hold). There the search is solved locally, and the blocks' best are merged.
+the cells whose bound reaches its own. Cells that at least half of the queries need stand together in blocks, so that where
+nothing can be pruned a query travels once per block and not once per cell. Data vectors travel once, to a block of their
+cell, whatever is pruned (again only if more queries need the cell than a task can hold). There the search is solved locally,
+and the blocks' best are merged.
 """
 
 from __future__ import annotations
@@ -18,8 +20,11 @@ from pyspark.sql import functions as F
 
 from .common import step
 
-#: Rows of a block of data, queries of a block and of a group that a task holds at once, and rows of the sample.
-DATA_BLOCK, QUERY_BLOCK, QUERY_GROUP, SAMPLE = 8192, 1024, 32768, 2048
+#: Least rows of a block of data and blocks that all data make at least, as far as that allows; queries and vectors that are
+#: compared at once; rows of the sample.
+DATA_BLOCK, BLOCKS, QUERY_BLOCK, TILE, SAMPLE = 1024, 64, 256, 8192, 2048
+#: Numbers in the vectors of a block of data, of the queries that a task holds beside it, and of a batch that leaves a task.
+DATA_VALUES, QUERY_VALUES, BATCH_VALUES = 1 << 22, 1 << 23, 1 << 21
 
 
 def _rows(column, width: int) -> np.ndarray:
@@ -39,17 +44,30 @@ def _distances(points: np.ndarray, pivots: np.ndarray) -> np.ndarray:
 
 
 def _best(query_ids, queries, ids, data, k: int):
-    """Per query its k best (query, id, score): exact integers, ties to the smaller id, never the query's own row."""
+    """Per query its k best (query, id, score): exact integers, ties to the smaller id, never the query's own row.
+
+    The data come in tiles, a short one first: what is below a query's k-th score so far is left out of the later ones.
+    """
     largest = float(np.sqrt((queries.astype(float) ** 2).sum(1).max() * (data.astype(float) ** 2).sum(1).max()))
-    kind = float if largest < 2**52 else np.int64
-    scores = (queries.astype(kind) @ data.T.astype(kind)).astype(np.int64)
-    for q, row in zip(query_ids.tolist(), scores):
-        at = np.flatnonzero(ids != q)
-        if len(at) > k:
-            cut = np.partition(row[at], len(at) - k)[len(at) - k]
-            at = at[row[at] >= cut]  # with all ties of the last place
-        at = at[np.lexsort((ids[at], -row[at]))][:k]
-        yield from ((q, int(ids[j]), int(row[j])) for j in at)
+    kind = np.float32 if largest < 2**23 else float if largest < 2**52 else np.int64  # sums of any of the products are exact
+    q = queries.astype(kind)
+    least = None
+    at, found, scores = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    ends = [0, *range(min(max(16 * k, 512), len(ids)), len(ids), TILE), len(ids)]
+    for lo, hi in zip(ends, ends[1:]):
+        s, own = q @ data[lo:hi].T.astype(kind), ids[lo:hi]
+        other = query_ids[:, None] != own[None, :] if np.isin(own, query_ids).any() else True
+        row, col = np.nonzero(other & (s >= least[:, None]) if least is not None else np.broadcast_to(other, s.shape))
+        at, found, scores = np.append(at, row), np.append(found, own[col]), np.append(scores, s[row, col].astype(np.int64))
+        order = np.lexsort((found, -scores, at))
+        at, found, scores = at[order], found[order], scores[order]
+        starts = np.searchsorted(at, np.arange(len(q)))
+        keep = np.arange(len(at)) - starts[at] < k
+        at, found, scores = at[keep], found[keep], scores[keep]
+        n = np.bincount(at, minlength=len(q))
+        if (n == k).all():
+            least = scores[k - 1 :: k].astype(kind)
+    yield from zip(query_ids[at].tolist(), found.tolist(), scores.tolist())
 
 
 def bounds(q: np.ndarray, pivots: np.ndarray, radius: np.ndarray, longest: np.ndarray) -> np.ndarray:
@@ -130,27 +148,64 @@ def deal(table: DataFrame, k: int, id_col: str, vec_col: str, scale: int, every:
         # rounding of the squared distances is far below a unit
         radius[r["cell"]], longest[r["cell"]], sizes[r["cell"]] = r["r"] * (1 + 1e-9) + 1, r["m"] * (1 + 1e-9), r["n"]
 
-    def ask(batches):
+    def needs(part):
+        """For queries and cells, whether the one needs the other."""
+        ids, v = part.column("id").to_numpy(), _rows(part.column("v"), width).astype(float)
+        return bounds(v, centre, radius, longest) >= _least(ids, v, sample_ids, sample, k)[:, None]
+
+    def slices(batches):
         for b in batches:
-            for lo in range(0, b.num_rows, 1024):
-                part = b.slice(lo, 1024)
-                ids, v = part.column("id").to_numpy(), _rows(part.column("v"), width).astype(float)
-                least = _least(ids, v, sample_ids, sample, k)
-                row, cell = np.nonzero(bounds(v, centre, radius, longest) >= least[:, None])
-                take = pa.array(row)
-                yield pa.RecordBatch.from_arrays([part.column("id").take(take), part.column("v").take(take), pa.array(cell, pa.int32())], ["id", "v", "cell"])
-
-    asked = step(queries.mapInArrow(ask, "id long, v array<long>, cell int"), "asked")
-    needed = {r["cell"]: r["count"] for r in asked.groupBy("cell").count().collect()}  # a row per cell
-    cells = [(c, -(-m // DATA_BLOCK), -(-needed[c] // QUERY_GROUP)) for c, m in sizes.items() if c in needed]
-    cells = table.sparkSession.createDataFrame(cells, "cell int, blocks int, parts int")
+            yield from (b.slice(lo, QUERY_BLOCK) for lo in range(0, b.num_rows, QUERY_BLOCK))
+
+    def tell(batches):
+        count = sum((needs(part).sum(0) for part in slices(batches)), np.zeros(len(centre), np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(centre)), pa.int32()), pa.array(count)], ["cell", "n"])
+
+    counted = queries.mapInArrow(tell, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    needed = {r["cell"]: r["n"] for r in counted.collect() if r["n"]}  # a row per cell
+    n_queries = queries.count()
+    least_rows = max(DATA_BLOCK, min(n // BLOCKS, DATA_VALUES // width))
+    groups = _groups(sizes, needed, n_queries, least_rows)
+    order = np.array([c for cells in groups for c in cells], np.int64)
+    starts = np.cumsum([0, *map(len, groups)])[:-1]
+
+    def ask(batches):
+        most_rows = max(1, BATCH_VALUES // width)
+        for part in slices(batches):
+            row, group = np.nonzero(np.logical_or.reduceat(needs(part)[:, order], starts, axis=1)) if len(order) else (starts, starts)
+            for lo in range(0, len(row), most_rows):
+                take, cell = pa.array(row[lo : lo + most_rows]), pa.array(group[lo : lo + most_rows], pa.int32())
+                yield pa.RecordBatch.from_arrays([part.column("id").take(take), part.column("v").take(take), cell], ["id", "v", "cell"])
+
+    asked = queries.mapInArrow(ask, "id long, v array<long>, cell int")
+    most = max(1, QUERY_VALUES // width)
+    shapes = []
+    for g, cells in enumerate(groups):
+        asks = needed[cells[0]] if len(cells) == 1 else n_queries
+        shapes += [(c, g, -(-sum(sizes[c] for c in cells) // least_rows) if len(cells) == 1 else 1, -(-asks // most)) for c in cells]
+    shapes = table.sparkSession.createDataFrame(shapes, "cell int, together int, blocks int, parts int")
     block, part = (F.pmod(F.xxhash64("id"), F.col(c)).cast("int") for c in ("blocks", "parts"))
     every_block, every_part = (F.explode(F.sequence(F.lit(0), F.col(c) - 1)) for c in ("blocks", "parts"))
-    asked = asked.join(cells, "cell").select("id", "v", F.lit(True).alias("query"), "cell", every_block.alias("block"), part.alias("part"))
-    placed = placed.join(cells, "cell").select("id", "v", F.lit(False).alias("query"), "cell", block.alias("block"), every_part.alias("part"))
+    together = shapes.select(F.col("together").alias("cell"), "blocks", "parts").distinct()
+    asked = asked.join(F.broadcast(together), "cell").select("id", "v", F.lit(True).alias("query"), "cell", every_block.alias("block"), part.alias("part"))
+    placed = placed.join(F.broadcast(shapes), "cell").select("id", "v", F.lit(False).alias("query"), F.col("together").alias("cell"), block.alias("block"), every_part.alias("part"))
     return asked, placed
 
 
+def _groups(sizes: dict[int, int], needed: dict[int, int], n_queries: int, rows: int) -> list[list[int]]:
+    """Cells that are dealt together: those that at least half of the queries need, up to ``rows`` rows; the others stay alone.
+    A cell that no query needs is in none."""
+    out, held = [], rows + 1
+    often = [c for c in sorted(needed) if c in sizes and 2 * needed[c] >= n_queries]
+    for c in often:
+        if held + sizes[c] > rows:
+            out.append([])
+            held = 0
+        out[-1].append(c)
+        held += sizes[c]
+    return out + [[c] for c in sorted(needed) if c in sizes and 2 * needed[c] < n_queries]
+
+
 def _solver(k: int):
     def solve(group: pa.Table) -> pa.Table:
         query = group.column("query").to_numpy().astype(bool)
