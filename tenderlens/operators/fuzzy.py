@@ -14,7 +14,9 @@ partner is lost. Candidates are made distinct, and a bound by character counts g
 
 Where one side has few texts, keys cost more than they save, above all where texts are alike and each pair meets in hundreds
 of keys. There blocks of the small side meet blocks of the large one in cells; the bound, a few nanoseconds a pair, is taken
-for all pairs of a cell, the distance for those it leaves.
+for all pairs of a cell, the distance for those it leaves. Where only the nearest are asked for, two passes over the cells spare most
+distances: the first takes those of each text's most promising partners in a cell, the second, for each text, only
+pairs whose bound reaches the least distance found.
 """
 
 from __future__ import annotations
@@ -38,6 +40,8 @@ _EPS = 1e-9
 _BUCKETS, _MOST_APART = 4096, 6
 #: Most texts of the smaller side for cells instead of keys; texts of a cell's two blocks on average; pairs compared at once; tasks.
 _FEW, _SMALL_BLOCK, _LARGE_BLOCK, _AT_ONCE, _MOST_TASKS = 20_000, 512, 4096, 50_000, 400
+#: Partners of a text in a cell whose distances tell how far to look for the nearest.
+_PROMISING = 8
 
 
 def _numbered(text: Column) -> Column:
@@ -112,18 +116,30 @@ def _tallies(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return lengths, counts.astype(np.uint8 if lengths.max(initial=0) < 256 else np.int32)
 
 
-def _meet(small: list[str], large: list[str], max_dist: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of places that the character counts allow to be within ``max_dist``, some ten thousands at a time."""
-    need = 3 * (1 - max_dist) - 1
+def _shared(small: list[str], large: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """For each place of ``small`` its text's length, how many characters it shares at most with each of ``large``, and their lengths."""
     (n, a), (k, b) = _tallies(small), _tallies(large)
     if a.dtype != b.dtype:
         a, b = a.astype(np.int32), b.astype(np.int32)
-    lists, held = [], 0
     for i, length in enumerate(n.tolist()):
         shared = np.zeros(len(large), a.dtype)
         for c in np.flatnonzero(a[:, i]).tolist():
             shared += np.minimum(b[c], a[c, i])
-        js = np.flatnonzero((shared > 0) & (shared >= need / (1 / length + 1 / k) - 1e-6))
+        yield i, length, shared, k
+
+
+def _need(max_dist: float | np.ndarray, small: list[str], large: list[str]) -> np.ndarray:
+    return np.broadcast_to(3 * (1 - np.asarray(max_dist, float)) - 1, (len(small), len(large)))
+
+
+def _meet(small: list[str], large: list[str], max_dist: float | np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places that the character counts allow to be within ``max_dist``, some ten thousands at a time.
+
+    ``max_dist`` is one number, or one per text of a side (a column for ``small``, a row for ``large``)."""
+    need = _need(max_dist, small, large)
+    lists, held = [], 0
+    for i, length, shared, k in _shared(small, large):
+        js = np.flatnonzero((shared > 0) & (shared >= need[i] / (1 / length + 1 / k) - 1e-6))
         lists.append((np.full(len(js), i), js))
         held += len(js)
         if held >= _AT_ONCE:
@@ -133,23 +149,57 @@ def _meet(small: list[str], large: list[str], max_dist: float) -> Iterator[tuple
         yield tuple(np.concatenate(c) for c in zip(*lists))
 
 
+def _promising(small: list[str], large: list[str], max_dist: float, of_small: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places: for each text of the one side, partners that the character counts allow to be nearest."""
+    lists, need = [], 3 * (1 - max_dist) - 1
+    best, at = np.full(len(large), -1.0), np.zeros(len(large), np.int64)
+    for i, length, shared, k in _shared(small, large):
+        alike = shared * (1 / length + 1 / k)
+        if of_small:
+            js = np.flatnonzero(alike >= max(alike.max() - 1e-9, need - 1e-6, 1e-6))[:_PROMISING]
+            lists.append((np.full(len(js), i), js))
+        else:
+            nearer = alike > best
+            best[nearer], at[nearer] = alike[nearer], i
+    if not of_small:
+        js = np.flatnonzero(best >= max(need - 1e-6, 1e-6))
+        lists.append((at[js], js))
+    i, j = (np.concatenate(c) for c in zip(*lists))
+    for lo in range(0, len(i), _AT_ONCE):
+        yield i[lo : lo + _AT_ONCE], j[lo : lo + _AT_ONCE]
+
+
 def _cells(lt: DataFrame, x: str, rt: DataFrame, y: str, n_left: int, n_right: int, max_dist: float, name: str, least: bool) -> DataFrame:
     """All pairs of non-empty texts within ``max_dist``, from cells of blocks; with ``least`` only such pairs of a left text
     as no other pair compared at the same time is nearer."""
+    far = F.lit(float(max_dist))
+    lt = lt.withColumn("__far", far)
+    if least:
+        nearest = _compared(lt, x, rt, y, n_left, n_right, max_dist, name, "first").groupBy(x).agg(F.min(name).alias("__near"))
+        lt = lt.join(nearest, x, "left").select(x, F.coalesce("__near", far).alias("__far"))
+    return _compared(lt, x, rt, y, n_left, n_right, max_dist, name, "least" if least else "all")
+
+
+def _compared(lt: DataFrame, x: str, rt: DataFrame, y: str, n_left: int, n_right: int, max_dist: float, name: str, way: str) -> DataFrame:
+    """Pairs from cells of blocks. A left text has its own radius in ``__far``. ``way``: "all" pairs within it, the "least" of those
+    that are compared at the same time, or "first" only the nearest of the most promising ones."""
     few_left = n_left <= n_right
     few, many = math.ceil(min(n_left, n_right) / _SMALL_BLOCK), math.ceil(max(n_left, n_right) / _LARGE_BLOCK)
 
-    def side(texts, c, of_few):
+    def side(texts, c, of_few, far):
         own, blocks, others = ("i", few, many) if of_few else ("j", many, few)
         block = F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int").alias(own)
         other = F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias("j" if of_few else "i")
         text = F.col(c)
         none = F.lit(None).cast("string")
-        return texts.where(text != "").select(block, other, (text if of_few else none).alias("a"), (none if of_few else text).alias("b")).select("i", "j", "a", "b")
+        both = (text if of_few else none).alias("a"), (none if of_few else text).alias("b")
+        return texts.where(text != "").select(block, other, *both, far.alias("far")).select("i", "j", "a", "b", "far")
 
-    rows = side(lt, x, few_left).unionByName(side(rt, y, not few_left))
+    rows = side(lt, x, few_left, F.col("__far")).unionByName(side(rt, y, not few_left, F.lit(None).cast("double")))
     # a number of tasks by the number of cells: by bytes, all pairs of a few thousand short texts would be one task
-    cells = rows.repartition(min(few * many, _MOST_TASKS), "i", "j").groupBy("i", "j").agg(F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
+    # the radii stand in the order of the left texts
+    lists = [F.collect_list(c).alias(c) for c in ("a", "b", "far")]
+    cells = rows.repartition(min(few * many, _MOST_TASKS), "i", "j").groupBy("i", "j").agg(*lists)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -157,18 +207,23 @@ def _cells(lt: DataFrame, x: str, rt: DataFrame, y: str, n_left: int, n_right: i
                 small, large = (batch.column(c)[cell].as_py() for c in ("a", "b"))
                 if not small or not large:
                     continue
-                a, b = np.array(small, object), np.array(large, object)
-                for i, j in _meet(small, large, max_dist):
+                a, b, far = np.array(small, object), np.array(large, object), np.array(batch.column("far")[cell].as_py())
+                pairs = _promising(small, large, max_dist, few_left) if way == "first" else _meet(small, large, far[:, None] if few_left else far[None, :])
+                for i, j in pairs:
                     found = pd.DataFrame({"l": i if few_left else j, x: a[i] if few_left else b[j], y: b[j] if few_left else a[i]})
                     found[name] = jaro_distances(found[x], found[y])
                     found = found[found[name] <= max_dist]
-                    if least:
+                    if way != "all":
                         found = found[found[name] == found.groupby("l")[name].transform("min")]
+                    if way == "first":
+                        found = found.drop_duplicates("l")
+                    if way == "least":
+                        found = found[found[name].to_numpy() <= far[found["l"].to_numpy()] + 1e-9]
                     if len(found):
                         cols = [pa.array(found[x], pa.string()), pa.array(found[y], pa.string()), pa.array(found[name], pa.float64())]
                         yield pa.RecordBatch.from_arrays(cols, [x, y, name])
 
-    return cells.select("a", "b").mapInArrow(compare, f"`{x}` string, `{y}` string, `{name}` double")
+    return cells.select("a", "b", "far").mapInArrow(compare, f"`{x}` string, `{y}` string, `{name}` double")
 
 
 def similar_texts(left: DataFrame, x: str, right: DataFrame, y: str, max_dist: float, name: str, least: bool = False) -> DataFrame:

@@ -62,3 +62,24 @@ def test_nearest_with_ties(spark, monkeypatch):
     assert 0 < fuzzy.fuzzy_join(left, right, [("x", "y")], 0.1, least=True).count() < len(near)
     with pytest.raises(ValueError, match="one pair"):
         fuzzy.fuzzy_join(left, right, [("x", "y"), ("x2", "y2")], 0.1, least=True)
+
+
+@pytest.mark.parametrize("swap", [False, True])
+def test_nearest_spares_most_distances(spark, monkeypatch, swap):
+    """Texts that are all alike: the bound at the full radius lets all pairs pass, that at the nearest one only few."""
+    rnd = random.Random(9)
+    names = sorted({f"ANTIOQUIA - E.S.E. Hospital Supplier#{rnd.randrange(10**6):09d}" for _ in range(500)})
+    a, b = (names[:40], names[40:]) if not swap else (names[40:], names[:40])
+    near = brute(a, b, 0.1)
+    best = {}
+    for (x, _), d in near.items():
+        best[x] = min(d, best.get(x, 1.0))
+    left, right = (spark.createDataFrame([(t,) for t in c], f"{n} string") for n, c in (("x", a), ("y", b)))
+    got = {(r["x"], r["y"]): round(r["d"], 12) for r in fuzzy.similar_texts(left, "x", right, "y", 0.1, "d", least=True).collect()}
+    assert {p for p, d in near.items() if d == best[p[0]]} <= got.keys() and got.items() <= near.items()
+    far = fuzzy.np.array([best[x] for x in a])
+    small, large = (a, b) if len(a) < len(b) else (b, a)
+    passed = lambda most: sum(len(i) for i, _ in fuzzy._meet(small, large, most))
+    assert passed(far[:, None] if small is a else far[None, :]) < 0.2 * passed(0.1)
+    first = {small[i] if not swap else large[j] for ii, jj in fuzzy._promising(small, large, 0.1, not swap) for i, j in zip(ii, jj)}
+    assert first == set(a)
